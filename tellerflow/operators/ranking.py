@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tellerflow.operators.sinks import durable
 
 # Values travel as one decimal type so that several orders share one shuffle.
 RANK_TYPE = "decimal(38,6)"
@@ -29,46 +31,62 @@ def ntile_cuts(rows: DataFrame, row_id: str, orders: Mapping[str, Column], tiles
     per order come to the driver. The unique id keeps equal values apart: a
     value held by a third of the rows is still split evenly.
     """
-    spark = rows.sparkSession
     names = list(orders)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranked = rows.select(
         F.col(row_id).alias("id"),
         F.explode(
             F.array(*[F.struct(F.lit(i).alias("o"), orders[n].cast(RANK_TYPE).alias("v")) for i, n in enumerate(names)])
         ).alias("s"),
     ).select("s.o", "s.v", "id")
-    placed = (
-        ranked.repartitionByRange(parts, "o", "v", "id")
-        .sortWithinPartitions("o", "v", "id")
-        .withColumn("pos", F.monotonically_increasing_id())
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        part = F.shiftright("pos", _ROW_BITS).alias("part")
-        sizes = {r["part"]: r["n"] for r in placed.groupBy(part).agg(F.count("*").alias("n")).collect()}
-        per_order, rest = divmod(sum(sizes.values()), len(names))
-        assert rest == 0, "every order ranks the same rows"
-        ends: list[tuple[int, int, int]] = []
-        before = 0
-        for p in sorted(sizes):
-            ends.append((p, before, before + sizes[p]))
-            before += sizes[p]
-        wanted: dict[int, tuple[str, int]] = {}
-        for i, name in enumerate(names):
-            for tile, start in enumerate(tile_starts(per_order, tiles)):
-                if start is not None:
-                    rank = i * per_order + start
-                    p, first, _ = next(e for e in ends if e[1] <= rank < e[2])
-                    wanted[(p << _ROW_BITS) + rank - first] = (name, tile)
-        cuts: dict[str, list] = {name: [None] * (tiles - 1) for name in names}
-        if wanted:
-            for row in placed.where(F.col("pos").isin(*wanted)).collect():
-                name, tile = wanted[row["pos"]]
-                cuts[name][tile] = (row["v"], row["id"])
-        return cuts
-    finally:
-        placed.unpersist()
+    placed = in_order(ranked, ["o", "v", "id"])
+    sizes = {r["part"]: r["n"] for r in _sizes(placed).collect()}  # one row per partition
+    per_order, rest = divmod(sum(sizes.values()), len(names))
+    assert rest == 0, "every order ranks the same rows"
+    wanted: dict[int, tuple[str, int]] = {}
+    for i, name in enumerate(names):
+        for tile, start in enumerate(tile_starts(per_order, tiles)):
+            if start is not None:
+                wanted[_position(sizes, i * per_order + start)] = (name, tile)
+    cuts: dict[str, list] = {name: [None] * (tiles - 1) for name in names}
+    if wanted:
+        for row in placed.where(F.col("pos").isin(*wanted)).collect():  # tiles - 1 rows per order
+            name, tile = wanted[row["pos"]]
+            cuts[name][tile] = (row["v"], row["id"])
+    return cuts
+
+
+def in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in total order over range partitions, with ``pos`` = (partition, place in it).
+
+    Written out before use: the sampled range bounds differ between two
+    evaluations, the written positions do not. Keys must be unique together.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    return durable(placed.withColumn("pos", F.monotonically_increasing_id()), "ordered")
+
+
+def _sizes(placed: DataFrame) -> DataFrame:
+    return placed.groupBy(F.shiftright("pos", _ROW_BITS).alias("part")).agg(F.count("*").alias("n"))
+
+
+def _position(sizes: Mapping[int, int], rank: int) -> int:
+    """The ``pos`` value of a zero-based global rank."""
+    for part in sorted(sizes):
+        if rank < sizes[part]:
+            return (part << _ROW_BITS) + rank
+        rank -= sizes[part]
+    raise ValueError("rank beyond the last row")
+
+
+def dense_ids(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Number all rows 1..n in key order; equal to ROW_NUMBER() OVER (ORDER BY keys), without one task sorting all."""
+    placed = in_order(rows, keys)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per partition
+    offsets = _sizes(placed).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    placed = placed.withColumn("part", F.shiftright("pos", _ROW_BITS))
+    place = F.col("pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return placed.join(offsets, "part").withColumn(name, F.col("offset") + place + 1).drop("part", "pos", "offset")
 
 
 def tile_of(value: Column, row_id: Column, cuts: list[tuple | None]) -> Column:

@@ -24,6 +24,7 @@ def local_session(app: str = "tellerflow", cpus: int | str = "*", partitions: in
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for key, value in TUNING.items():
