@@ -47,6 +47,14 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str = "cob_dt") ->
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
+def load_partitions(df: DataFrame, path: str, partition: str = "cob_dt") -> None:
+    """First load of many partitions: into an empty place the rows are written directly, a reload replaces its partitions."""
+    if exists(df.sparkSession, path):
+        overwrite_partitions(df, path, partition)
+    else:
+        df.write.partitionBy(partition).parquet(path)
+
+
 def overwrite_day(df: DataFrame, path: str, day: dt.date, partition: str = "cob_dt") -> int:
     """Replace exactly one partition, also when the output is empty. Returns the rows written."""
     written = Observation()

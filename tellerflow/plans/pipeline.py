@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,27 +37,40 @@ class Pipeline:
     feed: Callable[[str, dt.date], DataFrame]
     salt: str
     checks: list[quality.Check] = field(default_factory=lambda: list(quality.CHECKS))
-    _sequence: int = 0
+    parallel: int = 4  # jobs of one stage submitted to Spark at the same time
+    _sequence: itertools.count = field(default_factory=itertools.count)
+    _log_lock: threading.Lock = field(default_factory=threading.Lock)
+    _open: dict[str, DataFrame] = field(default_factory=dict)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
     def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+        """A stored table; its files are listed once per write, not once per job that reads it."""
+        path = self.path(layer, table)
+        if path not in self._open:
+            self._open[path] = self.spark.read.parquet(path)
+        return self._open[path]
+
+    def save(self, layer: str, table: str, write: Callable[[str], object]) -> None:
+        """Write a table and forget its old file listing."""
+        path = self.path(layer, table)
+        write(path)
+        self._open.pop(path, None)
 
     # run log
 
     def log(self, job: str, layer: str, status: str, day: dt.date, run_id: str, error: str | None = None) -> None:
         """One immutable event; ids grow with time, so the last event of a job is the one with the largest id."""
         now = dt.datetime.now()
-        self._sequence += 1
         event = (
-            int(now.timestamp() * 1_000_000) * 1000 + self._sequence % 1000, job, layer, job, status,
+            int(now.timestamp() * 1_000_000) * 1000 + next(self._sequence) % 1000, job, layer, job, status,
             now if status == "R" else None, None if status == "R" else now, day, run_id, run_id, 1,
             error[:ERROR_TEXT] if error else None, now,
         )
         rows = self.spark.createDataFrame([event], S.RUN_LOG_TABLE.struct)
-        sinks.append(rows.coalesce(1), self.path("ops", "run_log"))
+        with self._log_lock:  # two appends to one folder would share its commit folder
+            self.save("ops", "run_log", lambda path: sinks.append(rows.coalesce(1), path))
 
     def step(self, job: str, layer: str, day: dt.date, run_id: str, work: Callable[[], object]) -> None:
         """Run one job between its log events; a failure is logged and stops the pipeline."""
@@ -70,38 +86,40 @@ class Pipeline:
 
     def ingest(self, entity: str, day: dt.date, initial: bool) -> None:
         """A day replaces its own partition even when it is empty; the initial load fills all past days."""
-        rows, path = self.feed(entity, day), self.path("bronze", entity)
+        rows = self.feed(entity, day)
         if entity not in asof.FACTS:
-            sinks.overwrite_day(full_snapshot(rows, day), path, day)
+            self.save("bronze", entity, lambda path: sinks.overwrite_day(full_snapshot(rows, day), path, day))
             return
         spec = asof.FACTS[entity]
         if initial:
             past = initial_history(rows, spec.event).where(F.col("cob_dt") <= F.lit(day))
-            sinks.overwrite_partitions(by_day(past, spec.key), path)
+            self.save("bronze", entity, lambda path: sinks.load_partitions(by_day(past, spec.key), path))
         else:
-            sinks.overwrite_day(incremental_day(rows, spec.event, day), path, day)
+            self.save("bronze", entity, lambda path: sinks.overwrite_day(incremental_day(rows, spec.event, day), path, day))
 
     def bronze(self, entity: str, day: dt.date) -> DataFrame:
         return self.read("bronze", entity).where(F.col("cob_dt") == F.lit(day)).drop("cob_dt")
 
     def versioned(self, entity: str, day: dt.date) -> None:
         """Guards, history of the day, two partitions written, history and source compared afterwards."""
-        spec, path = history.DIMENSIONS[entity].validate(), self.path("silver", f"dim_{entity}")
+        spec, table = history.DIMENSIONS[entity].validate(), f"dim_{entity}"
         snapshot = self.bronze(entity, day)
         history.guard_source(snapshot, spec)
-        if not sinks.exists(self.spark, path):
-            sinks.save_history(history.open_versions(snapshot, spec, day), path)
+        if not sinks.exists(self.spark, self.path("silver", table)):
+            first = history.open_versions(snapshot, spec, day)
+            self.save("silver", table, lambda path: sinks.save_history(first, path))
         else:
-            stored = self.read("silver", f"dim_{entity}")
+            stored = self.read("silver", table)
             history.guard_backdated(stored, spec, day)
-            sinks.save_history_day(history.apply_snapshot(stored, snapshot, spec, day), path, day, OPEN_END)
-        history.guard_history(self.read("silver", f"dim_{entity}"), spec, snapshot)
+            after = history.apply_snapshot(stored, snapshot, spec, day)
+            self.save("silver", table, lambda path: sinks.save_history_day(after, path, day, OPEN_END))
+        history.guard_history(self.read("silver", table), spec, snapshot)
 
     def current_state(self, entity: str, day: dt.date) -> None:
-        path, snapshot = self.path("silver", f"dim_{entity}"), self.bronze(entity, day)
-        if sinks.exists(self.spark, path):
-            snapshot = history.scd1_upsert(self.read("silver", f"dim_{entity}"), snapshot, [SCD1_KEYS[entity]])
-        sinks.overwrite_all(snapshot, path)
+        table, snapshot = f"dim_{entity}", self.bronze(entity, day)
+        if sinks.exists(self.spark, self.path("silver", table)):
+            snapshot = history.scd1_upsert(self.read("silver", table), snapshot, [SCD1_KEYS[entity]])
+        self.save("silver", table, lambda path: sinks.overwrite_all(snapshot, path))
 
     def fact(self, feed: str, day: dt.date, initial: bool) -> None:
         spec = asof.FACTS[feed].validate()
@@ -111,35 +129,35 @@ class Pipeline:
             events = events.where(F.col("cob_dt") == F.lit(day))
         rows = sinks.durable(asof.resolve(events, spec.event, lookups, bootstrap=initial).drop("last_updated"), spec.name)
         asof.guard_fact(rows, spec, None if initial else day)
-        path = self.path("silver", spec.name)
         if initial:
-            sinks.overwrite_partitions(by_day(rows, spec.key), path)
+            self.save("silver", spec.name, lambda path: sinks.load_partitions(by_day(rows, spec.key), path))
         else:
-            sinks.overwrite_day(rows, path, day)
+            self.save("silver", spec.name, lambda path: sinks.overwrite_day(rows, path, day))
 
     def silver(self) -> marts.Silver:
         dims = [self.read("silver", f"dim_{d}") for d in ("customer", "account", "branch", "deposit", "loan", "card")]
         return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()])
 
     def mart(self, name: str, day: dt.date) -> None:
-        sinks.overwrite_partitions(getattr(marts, name)(self.silver(), day), self.path("gold", name))
+        rows = getattr(marts, name)(self.silver(), day)
+        self.save("gold", name, lambda path: sinks.overwrite_partitions(rows, path))
 
     def campaign(self, day: dt.date) -> None:
         inputs = [self.read("gold", n) for n in (*SEGMENTS, "customer_360")]
         rows = marts.campaign_target(*inputs, self.read("silver", "fact_crm_interaction"), day)
-        sinks.overwrite_partitions(rows, self.path("gold", "campaign_target"))
+        self.save("gold", "campaign_target", lambda path: sinks.overwrite_partitions(rows, path))
 
     def publish_current(self, day: dt.date) -> None:
         current = serving.current_mart(self.read("gold", "customer_360"), day)
-        sinks.write_checked(current, S.MART_360, self.path("gold", "mart_customer_360"), sinks.overwrite_all)
+        self.save("gold", "mart_customer_360", lambda path: sinks.write_checked(current, S.MART_360, path, sinks.overwrite_all))
 
     def mask(self, day: dt.date) -> None:
-        sinks.overwrite_all(
-            serving.customer_masked(self.read("silver", "dim_customer"), day, self.salt), self.path("sandbox", "dim_customer_masked")
-        )
-        sinks.overwrite_all(serving.mart_masked(self.read("gold", "mart_customer_360")), self.path("sandbox", "mart_customer_360_masked"))
+        masked = serving.customer_masked(self.read("silver", "dim_customer"), day, self.salt)
+        self.save("sandbox", "dim_customer_masked", lambda path: sinks.overwrite_all(masked, path))
+        mart = serving.mart_masked(self.read("gold", "mart_customer_360"))
+        self.save("sandbox", "mart_customer_360_masked", lambda path: sinks.overwrite_all(mart, path))
         rows = serving.dashboard_mart(self.read("gold", "customer_360"), self.read("gold", "campaign_target"), day)
-        serving.publish_dashboard(rows, self.path("sandbox", "mart_customer_360_dashboard"), day)
+        self.save("sandbox", "mart_customer_360_dashboard", lambda path: serving.publish_dashboard(rows, path, day))
 
     def tables(self) -> dict[str, DataFrame]:
         out = {f"dim_{d}": self.read("silver", f"dim_{d}") for d in (*history.DIMENSIONS, *SCD1_KEYS)}
@@ -152,32 +170,38 @@ class Pipeline:
     def check(self, day: dt.date, run_id: str) -> None:
         """Results are stored before the gate may raise."""
         results = quality.run_checks(self.checks, self.tables(), day, run_id, f"dq-{run_id}")
-        sinks.append(quality.result_frame(self.spark, results).coalesce(1), self.path("ops", "dq_result"))
+        stored = quality.result_frame(self.spark, results).coalesce(1)
+        self.save("ops", "dq_result", lambda path: sinks.append(stored, path))
         quality.gate(results)
 
     def run(self, day: dt.date, run_id: str, initial: bool = False) -> None:
-        """All layers of one processing date, in dependency order; stops at the first failure."""
-        jobs: list[tuple[str, str, Callable[[], object]]] = []
-        for entity in S.FEEDS:
-            jobs.append((f"bronze_{entity}", "bronze", lambda e=entity: self.ingest(e, day, initial)))
-        for entity in history.DIMENSIONS:
-            jobs.append((f"dim_{entity}", "silver", lambda e=entity: self.versioned(e, day)))
-        for entity in SCD1_KEYS:
-            jobs.append((f"dim_{entity}", "silver", lambda e=entity: self.current_state(e, day)))
-        for feed in asof.FACTS:
-            jobs.append((asof.FACTS[feed].name, "silver", lambda f=feed: self.fact(f, day, initial)))
-        for name in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS):
-            jobs.append((name, "gold", lambda n=name: self.mart(n, day)))
-        jobs += [
-            ("mart_customer_360", "gold", lambda: self.publish_current(day)),
-            ("campaign_target", "gold", lambda: self.campaign(day)),
-            ("masking", "sandbox", lambda: self.mask(day)),
-            ("data_quality", "ops", lambda: self.check(day, run_id)),
+        """All layers of one processing date, in dependency order; stops after the first stage with a failure.
+
+        Jobs of one stage do not depend on each other and are submitted side by side.
+        """
+        facts = asof.FACTS
+        stages: list[list[tuple[str, str, Callable[[], object]]]] = [
+            [(f"bronze_{e}", "bronze", lambda e=e: self.ingest(e, day, initial)) for e in S.FEEDS],
+            [(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
+            + [(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
+            [(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
+            [(n, "gold", lambda n=n: self.mart(n, day)) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
+            [("mart_customer_360", "gold", lambda: self.publish_current(day)), ("campaign_target", "gold", lambda: self.campaign(day))],
+            [("masking", "sandbox", lambda: self.mask(day))],
+            [("data_quality", "ops", lambda: self.check(day, run_id))],
         ]
-        for job, layer, work in jobs:
-            self.step(job, layer, day, run_id, work)
+        with ThreadPoolExecutor(self.parallel) as pool:
+            for stage in stages:
+                running = [pool.submit(self.step, job, layer, day, run_id, work) for job, layer, work in stage]
+                failures = [f.exception() for f in running if f.exception()]
+                if failures:
+                    raise failures[0]
 
 
 def by_day(rows: DataFrame, key: str) -> DataFrame:
-    """Cluster a many-day load before a partitioned write: few files per day, and a hot day split over tasks by key."""
-    return rows.repartitionByRange("cob_dt", key)
+    """Cluster a many-day load before a partitioned write: few files per day, and a hot day split over tasks by key.
+
+    The partition count is explicit because the cost here is files, not bytes: left to itself, adaptive execution
+    would join a small load of many days into one task that opens every file.
+    """
+    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cob_dt", key)
