@@ -13,6 +13,7 @@ import statistics
 import time
 
 from tellerflow.lake import Lake
+from tellerflow.operators import activity
 from tellerflow.plans import business, dashboard, marts, quality
 from tellerflow.session import local_session
 
@@ -31,6 +32,8 @@ def main() -> None:
     silver, day = lake.silver(), lake.day
     masked, dash = lake.masked(), lake.dashboard()
     headline = {
+        "account_activity": lambda: activity.account_activity(silver.fact_txn_account, day),
+        "card_activity": lambda: activity.card_activity(silver.fact_card_txn, day),
         "customer_balance_summary": lambda: marts.balance_summary(silver, day),
         "customer_transaction_summary": lambda: marts.transaction_summary(silver, day),
         "mart_customer_360_history": lambda: marts.customer_360(silver, day),

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerflow.sources.files import asof_dimension
+
 FIRST_DAY = "0001-01-01"  # before any event
 
 
@@ -51,9 +53,14 @@ def from_the_beginning(versions: DataFrame, key: str) -> DataFrame:
     ).drop("_first")
 
 
-def resolve(events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap: bool = False, how: str = "left") -> DataFrame:
+def resolve(
+    events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap: bool = False, how: str = "left", day: dt.date | None = None
+) -> DataFrame:
     """Add each dimension's surrogate key as of the event date.
 
+    When all events fall on one ``day``, only the versions valid then are read:
+    at most one per key, and the closed partitions before it are pruned.
+
     An equi join on the business key with the validity range as residual
     condition; only three columns of a dimension travel. A hot key splits under
     AQE because the many-row side is the streamed side of a left join.
@@ -61,6 +68,8 @@ def resolve(events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap:
     out = events
     for lookup in lookups:
         versions = from_the_beginning(lookup.versions, lookup.key) if bootstrap else lookup.versions
+        if day:
+            versions = asof_dimension(versions, day)
         side = versions.select(
             F.col(lookup.key).alias("_key"), lookup.sk, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
         )

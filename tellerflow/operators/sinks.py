@@ -55,6 +55,16 @@ def load_partitions(df: DataFrame, path: str, partition: str = "cob_dt") -> None
         df.write.partitionBy(partition).parquet(path)
 
 
+def by_day(rows: DataFrame, key: str) -> DataFrame:
+    """Cluster a load of many days before it is written: few files per day, row groups that a date filter can skip,
+    and a hot day split over tasks by key.
+
+    The partition count is explicit because the cost here is files, not bytes: left to itself, adaptive execution
+    would join a small load of many days into one task that opens every file.
+    """
+    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cob_dt", key)
+
+
 def overwrite_day(df: DataFrame, path: str, day: dt.date, partition: str = "cob_dt") -> int:
     """Replace exactly one partition, also when the output is empty. Returns the rows written."""
     written = Observation()

@@ -41,6 +41,7 @@ class Pipeline:
     _sequence: itertools.count = field(default_factory=itertools.count)
     _log_lock: threading.Lock = field(default_factory=threading.Lock)
     _open: dict[str, DataFrame] = field(default_factory=dict)
+    _silver: dict[str, marts.Silver] = field(default_factory=dict)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -93,7 +94,7 @@ class Pipeline:
         spec = asof.FACTS[entity]
         if initial:
             past = initial_history(rows, spec.event).where(F.col("cob_dt") <= F.lit(day))
-            self.save("bronze", entity, lambda path: sinks.load_partitions(by_day(past, spec.key), path))
+            self.save("bronze", entity, lambda path: sinks.load_partitions(sinks.by_day(past, spec.key), path))
         else:
             self.save("bronze", entity, lambda path: sinks.overwrite_day(incremental_day(rows, spec.event, day), path, day))
 
@@ -127,10 +128,11 @@ class Pipeline:
         events = self.read("bronze", feed)
         if not initial:
             events = events.where(F.col("cob_dt") == F.lit(day))
-        rows = sinks.durable(asof.resolve(events, spec.event, lookups, bootstrap=initial).drop("last_updated"), spec.name)
+        resolved = asof.resolve(events, spec.event, lookups, bootstrap=initial, day=None if initial else day)
+        rows = sinks.durable(resolved.drop("last_updated"), spec.name)
         asof.guard_fact(rows, spec, None if initial else day)
         if initial:
-            self.save("silver", spec.name, lambda path: sinks.load_partitions(by_day(rows, spec.key), path))
+            self.save("silver", spec.name, lambda path: sinks.load_partitions(sinks.by_day(rows, spec.key), path))
         else:
             self.save("silver", spec.name, lambda path: sinks.overwrite_day(rows, path, day))
 
@@ -138,8 +140,15 @@ class Pipeline:
         dims = [self.read("silver", f"dim_{d}") for d in ("customer", "account", "branch", "deposit", "loan", "card")]
         return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()])
 
-    def mart(self, name: str, day: dt.date) -> None:
-        rows = getattr(marts, name)(self.silver(), day)
+    def silver_of(self, run_id: str) -> marts.Silver:
+        """One set of frames per run, so that its marts share the activity aggregates."""
+        with self._log_lock:
+            if run_id not in self._silver:
+                self._silver = {run_id: self.silver()}
+            return self._silver[run_id]
+
+    def mart(self, name: str, day: dt.date, silver: marts.Silver) -> None:
+        rows = getattr(marts, name)(silver, day)
         self.save("gold", name, lambda path: sinks.overwrite_partitions(rows, path))
 
     def campaign(self, day: dt.date) -> None:
@@ -185,7 +194,7 @@ class Pipeline:
             [(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
             + [(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
             [(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
-            [(n, "gold", lambda n=n: self.mart(n, day)) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
+            [(n, "gold", lambda n=n: self.mart(n, day, self.silver_of(run_id))) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
             [("mart_customer_360", "gold", lambda: self.publish_current(day)), ("campaign_target", "gold", lambda: self.campaign(day))],
             [("masking", "sandbox", lambda: self.mask(day))],
             [("data_quality", "ops", lambda: self.check(day, run_id))],
@@ -197,11 +206,3 @@ class Pipeline:
                 if failures:
                     raise failures[0]
 
-
-def by_day(rows: DataFrame, key: str) -> DataFrame:
-    """Cluster a many-day load before a partitioned write: few files per day, and a hot day split over tasks by key.
-
-    The partition count is explicit because the cost here is files, not bytes: left to itself, adaptive execution
-    would join a small load of many days into one task that opens every file.
-    """
-    return rows.repartitionByRange(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "cob_dt", key)
