@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -166,11 +165,12 @@ class Lake:
         )
 
 
-@lru_cache(maxsize=16)
-def _lake(app_id: str, folder: str) -> Lake:
-    return Lake(SparkSession.getActiveSession(), folder)
+_LAKES: dict[tuple[str, str], Lake] = {}
 
 
 def lake_for(spark: SparkSession, folder: str) -> Lake:
     """One lake per session and folder, so that stored tables are built once."""
-    return _lake(spark.sparkContext.applicationId, folder.rstrip("/"))
+    key = (spark.sparkContext.applicationId, folder.rstrip("/"))
+    if key not in _LAKES:
+        _LAKES[key] = Lake(spark, folder)
+    return _LAKES[key]

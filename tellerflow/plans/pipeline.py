@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import itertools
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -24,6 +23,24 @@ SUMMARIES = ("balance_summary", "product_summary", "card_summary", "transaction_
 SEGMENTS = ("rfm_segment", "churn_prediction", "cross_sell_segment")
 
 
+@dataclass(frozen=True)
+class Job:
+    name: str
+    layer: str
+    work: Callable[[], object]
+
+
+@dataclass(frozen=True)
+class Event:
+    """One entry of the run log: R when a job starts, S or F when it ends."""
+
+    job: str
+    layer: str
+    status: str
+    at: dt.datetime
+    error: str | None = None
+
+
 @dataclass
 class Pipeline:
     """Where the tables live and where the day's feeds come from.
@@ -37,9 +54,8 @@ class Pipeline:
     feed: Callable[[str, dt.date], DataFrame]
     salt: str
     checks: list[quality.Check] = field(default_factory=lambda: list(quality.CHECKS))
-    parallel: int = 4  # jobs of one stage submitted to Spark at the same time
-    _sequence: itertools.count = field(default_factory=itertools.count)
-    _log_lock: threading.Lock = field(default_factory=threading.Lock)
+    parallel: int = 8  # jobs of one stage submitted to Spark at the same time
+    _lock: threading.Lock = field(default_factory=threading.Lock)
     _open: dict[str, DataFrame] = field(default_factory=dict)
     _silver: dict[str, marts.Silver] = field(default_factory=dict)
 
@@ -61,27 +77,36 @@ class Pipeline:
 
     # run log
 
-    def log(self, job: str, layer: str, status: str, day: dt.date, run_id: str, error: str | None = None) -> None:
-        """One immutable event; ids grow with time, so the last event of a job is the one with the largest id."""
+    def log(self, events: list[Event], day: dt.date, run_id: str) -> None:
+        """Append immutable events; ids grow with time, so the last event of a job is the one with the largest id."""
         now = dt.datetime.now()
-        event = (
-            int(now.timestamp() * 1_000_000) * 1000 + next(self._sequence) % 1000, job, layer, job, status,
-            now if status == "R" else None, None if status == "R" else now, day, run_id, run_id, 1,
-            error[:ERROR_TEXT] if error else None, now,
-        )
-        rows = self.spark.createDataFrame([event], S.RUN_LOG_TABLE.struct)
-        with self._log_lock:  # two appends to one folder would share its commit folder
-            self.save("ops", "run_log", lambda path: sinks.append(rows.coalesce(1), path))
-
-    def step(self, job: str, layer: str, day: dt.date, run_id: str, work: Callable[[], object]) -> None:
-        """Run one job between its log events; a failure is logged and stops the pipeline."""
-        self.log(job, layer, "R", day, run_id)
+        rows = [
+            (
+                int(now.timestamp() * 1_000_000) * 1000 + n, e.job, e.layer, e.job, e.status, e.at if e.status == "R" else None,
+                None if e.status == "R" else e.at, day, run_id, run_id, 1, e.error[:ERROR_TEXT] if e.error else None, now,
+            )
+            for n, e in enumerate(events)
+        ]
+        frame = self.spark.createDataFrame(rows, S.RUN_LOG_TABLE.struct).coalesce(1)
+        self.save("ops", "run_log", lambda path: sinks.append(frame, path))
+
+    @staticmethod
+    def attempt(job: Job) -> tuple[Event, Exception | None]:
+        """Run one job; its outcome is an event, and the failure if there was one."""
         try:
-            work()
-        except Exception as error:
-            self.log(job, layer, "F", day, run_id, f"{type(error).__name__}: {error}")
-            raise
-        self.log(job, layer, "S", day, run_id)
+            job.work()
+            return Event(job.name, job.layer, "S", dt.datetime.now()), None
+        except Exception as error:  # noqa: BLE001 - logged, then raised by run()
+            return Event(job.name, job.layer, "F", dt.datetime.now(), f"{type(error).__name__}: {error}"), error
+
+    def run_stage(self, pool: ThreadPoolExecutor, stage: list[Job], day: dt.date, run_id: str) -> None:
+        """Jobs of one stage side by side, between their log events; the first failure stops the pipeline."""
+        self.log([Event(j.name, j.layer, "R", dt.datetime.now()) for j in stage], day, run_id)
+        outcomes = list(pool.map(self.attempt, stage))
+        self.log([event for event, _ in outcomes], day, run_id)
+        for _, failure in outcomes:
+            if failure:
+                raise failure
 
     # jobs
 
@@ -142,7 +167,7 @@ class Pipeline:
 
     def silver_of(self, run_id: str) -> marts.Silver:
         """One set of frames per run, so that its marts share the activity aggregates."""
-        with self._log_lock:
+        with self._lock:
             if run_id not in self._silver:
                 self._silver = {run_id: self.silver()}
             return self._silver[run_id]
@@ -189,20 +214,17 @@ class Pipeline:
         Jobs of one stage do not depend on each other and are submitted side by side.
         """
         facts = asof.FACTS
-        stages: list[list[tuple[str, str, Callable[[], object]]]] = [
-            [(f"bronze_{e}", "bronze", lambda e=e: self.ingest(e, day, initial)) for e in S.FEEDS],
-            [(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
-            + [(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
-            [(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
-            [(n, "gold", lambda n=n: self.mart(n, day, self.silver_of(run_id))) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
-            [("mart_customer_360", "gold", lambda: self.publish_current(day)), ("campaign_target", "gold", lambda: self.campaign(day))],
-            [("masking", "sandbox", lambda: self.mask(day))],
-            [("data_quality", "ops", lambda: self.check(day, run_id))],
+        stages = [
+            [Job(f"bronze_{e}", "bronze", lambda e=e: self.ingest(e, day, initial)) for e in S.FEEDS],
+            [Job(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
+            + [Job(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
+            [Job(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
+            [Job(n, "gold", lambda n=n: self.mart(n, day, self.silver_of(run_id)))
+             for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
+            [Job("mart_customer_360", "gold", lambda: self.publish_current(day)), Job("campaign_target", "gold", lambda: self.campaign(day))],
+            [Job("masking", "sandbox", lambda: self.mask(day))],
+            [Job("data_quality", "ops", lambda: self.check(day, run_id))],
         ]
         with ThreadPoolExecutor(self.parallel) as pool:
             for stage in stages:
-                running = [pool.submit(self.step, job, layer, day, run_id, work) for job, layer, work in stage]
-                failures = [f.exception() for f in running if f.exception()]
-                if failures:
-                    raise failures[0]
-
+                self.run_stage(pool, stage, day, run_id)
