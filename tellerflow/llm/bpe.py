@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from tellerflow.llm.registry import documents, query
+from tellerflow.llm.workers import map_arrow
 
 REMEMBERED = 400_000  # pieces a worker remembers; more only costs time, as forgotten ones are merged again
 
@@ -288,7 +289,7 @@ def _mapped(docs: DataFrame, text: str, keep: list[str], fields: list[StructFiel
             arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(c, t) for c, t in columns]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return picked.mapInArrow(work, schema)
+    return map_arrow(picked, work, schema)
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
