@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from tellerflow.llm.edits import distance, masks_of
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.text import LOWER, column_bytes, hash_spans, mix, slices, words
 from tellerflow.llm.workers import map_arrow
@@ -143,29 +144,11 @@ class Items:
         return int(good[0]) + 1 if len(good) else MOST_WALKS
 
     def distance(self, item: int, text: np.ndarray) -> tuple[int, int]:
-        """The least edit distance of the item to any passage of the text, and where the first such passage ends.
-
-        Bit-parallel dynamic programming: one column of the distance matrix is a
-        pair of integers, whatever the item's length.
-        """
-        n = len(self.words[item])
+        """The least edit distance of the item to any passage of the text, and where the first such passage ends."""
         masks = self.masks.get(item)
         if masks is None:
-            masks = self.masks[item] = defaultdict(int)
-            for i, w in enumerate(self.words[item].tolist()):
-                masks[w] |= 1 << i
-        full, top = (1 << n) - 1, 1 << (n - 1)
-        plus, minus, score, best, end = full, 0, n, n, 0
-        for j, w in enumerate(text.tolist(), 1):
-            eq = masks.get(w, 0)
-            zero = (((eq & plus) + plus) ^ plus) | eq | minus
-            up, down = minus | ~(zero | plus) & full, plus & zero
-            score += bool(up & top) - bool(down & top)
-            up, down = up << 1 & full, down << 1 & full
-            plus, minus = down | ~(zero | up) & full, up & zero
-            if score < best:
-                best, end = score, j
-        return best, end
+            masks = self.masks[item] = masks_of(self.words[item].tolist())
+        return distance(masks, len(self.words[item]), text.tolist(), anywhere=True)
 
     def matches(self, hashes: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], tuple[int, int]]:
         """(row, item) -> (edits, last word's position + 1) of the nearest passage within the allowed distance."""

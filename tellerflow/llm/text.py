@@ -70,7 +70,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.flatnonzero(end) + 1, np.searchsorted(starts, offsets)
 
 
-def _powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of the hash base and of its inverse modulo 2**64, n of each at least."""
     if len(_POWERS[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
             steps = np.full(n, base, np.uint64)
@@ -91,7 +92,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         low = starts[i]
         j = max(i + 1, int(np.searchsorted(ends, low + _CHUNK, "right")))
         part = data[low : ends[j - 1]]
-        up, down = _powers(max(len(part), _CHUNK if len(starts) > 1000 else 1) + 1)
+        up, down = powers(max(len(part), _CHUNK if len(starts) > 1000 else 1) + 1)
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[: len(part)], out=sums[1:])
         s, e = starts[i:j] - low, ends[i:j] - low
