@@ -32,8 +32,8 @@ LEAST_SCORE = 0.2
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    known = identified(docs, keep=tuple(docs.columns))
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    known = identified(docs, keep=tuple(docs.columns), names=("_language", "_language_score"))
+    return known.where((F.col("_language") != UNKNOWN) & (F.col("_language_score") >= LEAST_SCORE)).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ piece:
 
 NULL text counts as empty: no tokens. Every row gives one row, whatever its
 doc_id (NULL and repeated ones too); extra columns are passed through by
-``keep``.
+``keep``, and give way to a result column of the same name.
 """
 
 from __future__ import annotations
@@ -276,10 +276,9 @@ def _shared(docs: DataFrame, path: str):
 
 
 def _mapped(docs: DataFrame, text: str, keep: list[str], fields: list[StructField], rows) -> DataFrame:
-    """Columns ``keep`` of every row followed by ``fields``, which ``rows(texts)`` gives as lists."""
-    clash = {c.lower() for c in keep} & {f.name.lower() for f in fields}
-    if clash:
-        raise ValueError(f"columns to keep clash with the result's: {sorted(clash)}")
+    """Columns ``keep`` of every row, but for those named like a field, followed by ``fields``, which ``rows(texts)`` gives as lists."""
+    made = {f.name.lower() for f in fields}
+    keep = [c for c in keep if c.lower() not in made]
     schema = StructType([*[docs.schema[c] for c in keep], *fields])
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text"))
 

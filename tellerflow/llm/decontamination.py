@@ -5,8 +5,8 @@ dropped. An item of n words is found in a document if some passage differs from
 it by at most ``edits`` per hundred of n word insertions, deletions and
 substitutions.
 
-Windows sized by the item (the power of two between n/6 and n/3 words) are
-embedded by random walks: a walk reads the window's current word at every step
+Windows sized by the item (the power of two between n/6 and n/3 words, halved
+where the recall below asks for it) are embedded by random walks: a walk reads the window's current word at every step
 and moves on or stays by a random bit of (step, word), for two steps per word,
 with a padding word after the end. Walks over two windows at a small edit
 distance fall into step again after each edit, so the embedded strings differ in
@@ -41,8 +41,8 @@ from tellerflow.llm.registry import documents, query
 from tellerflow.llm.text import LOWER, column_bytes, hash_spans, mix, slices, words
 from tellerflow.llm.workers import map_arrow
 
-EDITS, LEAST, RECALL = 20, 5, 0.97
-SAMPLED, MOST_WALKS = 6, 8
+EDITS, LEAST, RECALL = 20, 5, 0.98
+SAMPLED, MOST_WALKS, TRIALS = 6, 6, 300
 BLOCK_WORDS = 2_000_000
 _PAD = np.uint64(0x5851F42D4C957F2D)
 
@@ -106,7 +106,8 @@ class Items:
             by_size[window_of(len(w))].append(k)
         self.sizes = []
         for size, members in sorted(by_size.items()):
-            walks = self._walks(size, members, recall)
+            while not (walks := self._walks(size, members, recall)):
+                size //= 2
             embedding = Embedding(size, walks)
             text = np.concatenate([item_words[k] for k in members])
             at = np.concatenate([[0], np.cumsum([len(item_words[k]) for k in members])])
@@ -124,24 +125,24 @@ class Items:
         self.masks: dict[int, dict[int, int]] = {}
 
     def _walks(self, size: int, members: list[int], recall: float) -> int:
-        """Walks that retrieve ``recall`` of edited copies at the largest distance; measured on up to 200 of the items."""
+        """Walks that retrieve ``recall`` of edited copies at the largest distance; 0 if that takes too many, and there
+        are shorter windows. Measured on ``TRIALS`` edited items."""
         rng = np.random.default_rng(7)
-        picked = rng.choice(members, min(200, len(members)), replace=False)
         embedding, found = Embedding(size, MOST_WALKS), np.zeros(MOST_WALKS)
-        for k in picked:
+        for k in rng.choice(members, TRIALS):
             own = self.words[k]
             copy = list(own)
             for _ in range(len(own) * self.edits // 100):
                 at, kind, new = int(rng.integers(len(copy))), rng.integers(3), np.uint64(rng.integers(1 << 62))
-                copy[at : at + 1] = [[new], [copy[at], new], []][kind] if len(copy) > size else [new]
-            copy = np.array(copy, np.uint64)
+                copy[at : at + 1] = [[new], [copy[at], new], []][kind] if len(copy) > 1 else [new]
+            copy = np.concatenate([rng.integers(1 << 62, size=int(rng.integers(embedding.stride))).astype(np.uint64), np.array(copy, np.uint64)])
             probes = np.arange(0, max(len(copy) - size + 1, 0), embedding.stride)
             for i, (a, b) in enumerate(zip(embedding.keys(own, np.arange(len(own) - size + 1)), embedding.keys(copy, probes))):
                 if np.isin(b, a).any():
                     found[i:] += 1
                     break
-        good = np.flatnonzero(found >= recall * len(picked))
-        return int(good[0]) + 1 if len(good) else MOST_WALKS
+        good = np.flatnonzero(found >= recall * TRIALS)
+        return int(good[0]) + 1 if len(good) else 0 if size > 1 else MOST_WALKS
 
     def distance(self, item: int, text: np.ndarray) -> tuple[int, int]:
         """The least edit distance of the item to any passage of the text, and where the first such passage ends."""

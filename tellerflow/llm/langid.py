@@ -12,7 +12,7 @@ the shuffle; only ``size`` grams per language reach the driver.
 Defined cases: a text that is NULL, empty or without letters is ``und`` with
 score 0. Rows with a NULL label or text teach nothing. Without any profile every
 text is ``und``. Every input row gives one row; extra columns are carried by
-``keep``.
+``keep``, and give way to a result column of the same name.
 """
 
 from __future__ import annotations
@@ -125,15 +125,14 @@ class Profiles:
         return self.names[best], float(1 - away[best] / (self.size * len(own)))
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = PROFILE) -> DataFrame:
-    """``keep`` columns with lang_pred and score (0 to 1) of every whole text. Profiles are at most
+def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", keep: tuple[str, ...] = ("doc_id",), size: int = PROFILE,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keep`` columns with the language and the score (0 to 1) of every whole text, under ``names``. Profiles are at most
     MAX_LANGUAGES * size numbers and travel with the task."""
-    clash = {c.lower() for c in keep} & {"lang_pred", "score"}
-    if clash:
-        raise ValueError(f"columns to keep clash with the result's: {sorted(clash)}")
+    keep = tuple(c for c in keep if c.lower() not in {n.lower() for n in names})
     ranks = Profiles(profiles, size)
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text"))
-    schema = StructType([*[docs.schema[c] for c in keep], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*[docs.schema[c] for c in keep], StructField(names[0], StringType()), StructField(names[1], DoubleType())])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (s for b in batches for s in slices(b, "_text", 2 << 20)):
@@ -154,9 +153,9 @@ def held_out(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).cast("binary")) % 5 == 0
 
 
-def identified(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def identified(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Learn from the documents that are not held out, predict all."""
-    return predict(docs, train(docs.where(~held_out())), keep=keep)
+    return predict(docs, train(docs.where(~held_out())), keep=keep, names=names)
 
 
 @query("op7_language_id")
