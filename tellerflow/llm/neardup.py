@@ -12,13 +12,16 @@ at s = 0.85 two sets share none with probability (1 - 0.85**5)**25 < 5e-7.
 
 Links come from full sets, never from sketches:
 
-1. Every class in a bucket is compared with the bucket's smallest class, its
-   pivot: as many pairs as members, however large the bucket.
-2. Components of those links are found. Classes of one bucket that are still in
-   different components are compared with each other, but for pairs that the
-   distances d to the pivot rule out: Jaccard distance is a metric, so
-   d(x, y) >= |d(x, p) - d(y, p)|. In a group of copies nearly all are in the
-   pivot's component, so few pairs remain.
+1. Every bucket has a pivot, the class that meets the most others over all its
+   buckets; a class and all classes of buckets it is the pivot of are its star.
+   Every member of a star is compared with its pivot: as many pairs as members,
+   however large the star.
+2. Components of those links are found. In a group of copies most members are now
+   in one.
+3. A star that is still in several components is compared as a whole, as copies
+   may be linked with each other and not with the pivot. It is dealt into blocks
+   of bounded size, and each pair of blocks is one cell: a matrix product counts
+   all shared shingles, and no more links leave it than join its components.
 
 Defined cases: NULL and empty texts and texts without words have no shingles, no
 links and their own id as component. Rows with a NULL doc_id take part; a
@@ -39,12 +42,13 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from tellerflow.llm.components import components
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.text import LOWER, column_bytes, hash_spans, mix, shingles, slices, words
-from tellerflow.llm.workers import map_arrow
+from tellerflow.llm.workers import map_arrow, ship
 from tellerflow.operators.sinks import durable
 
 WORDS, PERCENT = 5, 85
 ROWS, BANDS = 5, 25
 COORDINATES = ROWS * BANDS
+BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1_000_000
 _FREE = np.uint64(2**64 - 1)
 
 
@@ -123,11 +127,6 @@ def _sets(docs: DataFrame) -> DataFrame:
     return map_arrow(docs, work, schema)
 
 
-def _similar_sizes(a: str, b: str):
-    """Sets whose sizes alone allow a similarity of PERCENT."""
-    return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
-
-
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (u, v) with shared and total, the sizes of their full sets' intersection and union."""
     # The pivot first: rows are still small where one u has very many v.
@@ -138,8 +137,80 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("u", "v", shared.alias("shared"), (F.size("su") + F.size("sv") - shared).alias("total"))
 
 
+def _within_stars(stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) that join different components of one star, found by comparing all its members block by block."""
+    label = F.coalesce("label", "node").alias("label")
+    rows = stars.join(labels, "node", "left").select("pivot", "node", "n", label)
+    # Mixed stars have two members or more outside the pivot's component; one alone has been compared with all there is.
+    hub = labels.select(F.col("node").alias("pivot"), F.col("label").alias("hub"))
+    rows = rows.join(hub, "pivot", "left").withColumn("apart", (F.col("label") != F.coalesce("hub", "pivot")).cast("int"))
+    sizes = rows.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("apart").alias("apart"), F.sum("n").alias("shingles"))
+    sizes = sizes.where("apart > 0 and members > 1").withColumn(
+        "blocks", F.greatest(F.ceil(F.col("members") / BLOCK_MEMBERS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    )
+    sizes = durable(sizes.select("pivot", "blocks", "shingles"), "mixed-stars")
+    small = sizes.where("blocks = 1").agg(F.sum("shingles")).first()[0] or 0  # stars of one block share cells
+    dealt = rows.join(sizes, "pivot").withColumn("i", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = dealt.select("pivot", "node", "label", "i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "blocks")
+    cell = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("pivot"), F.lit(small // BLOCK_SHINGLES + 1))).otherwise(
+        F.xxhash64("pivot", F.least("i", "j"), F.greatest("i", "j")))
+    part = F.when(F.col("blocks") == 1, 0).otherwise(F.least("i", "j") * (1 << 16) + F.greatest("i", "j"))
+    dealt = dealt.select(cell.alias("cell"), part.alias("part"), "pivot", "node", "label").join(sets, "node")
+    return dealt.groupBy("cell").applyInArrow(_joining_links, "u binary, v binary")
+
+
+def _joining_links(cell: pa.Table) -> pa.Table:
+    """Links that join the components of each star in a cell, no more than its members."""
+    groups: dict[tuple, list[int]] = {}
+    for i, key in enumerate(zip(cell.column("pivot").to_pylist(), cell.column("part").to_pylist())):
+        groups.setdefault(key, []).append(i)
+    nodes, labels = cell.column("node").to_pylist(), cell.column("label").to_pylist()
+    lists = cell.column("shingles").combine_chunks()
+    values, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    out: list[tuple[bytes, bytes]] = []
+    for rows in groups.values():
+        if len({labels[r] for r in rows}) < 2:
+            continue
+        own = [values[at[r] : at[r + 1]] for r in rows]
+        size = np.array([len(o) for o in own])
+        shared = _shared_counts(own)
+        linked = shared * 100 >= (size[:, None] + size[None, :] - shared) * PERCENT
+        parent = {labels[r]: labels[r] for r in rows}
+
+        def top(x: bytes) -> bytes:
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        number = {name: k for k, name in enumerate(parent)}
+        code = np.array([number[labels[r]] for r in rows])
+        for a, b in np.argwhere(np.triu(linked & (code[:, None] != code[None, :]), 1)).tolist():
+            x, y = top(labels[rows[a]]), top(labels[rows[b]])
+            if x != y:
+                parent[x] = y
+                out.append((nodes[rows[a]], nodes[rows[b]]))
+    return pa.table({"u": pa.array([o[0] for o in out], pa.binary()), "v": pa.array([o[1] for o in out], pa.binary())})
+
+
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections: products of the sets' incidence matrix, some elements at a time."""
+    element = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(element, kind="stable")
+    element, owner = element[order], owner[order]
+    total = np.zeros((len(sets), len(sets)), np.int64)
+    step = max(1, (8 << 20) // len(sets))
+    for low in range(0, int(element[-1]) + 1 if len(element) else 0, step):
+        a, b = np.searchsorted(element, [low, low + step])
+        part = np.zeros((len(sets), step), np.float32)  # counts below 2**24 are exact
+        part[owner[a:b], element[a:b] - low] = 1
+        total += (part @ part.T).astype(np.int64)
+    return total
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row; copies linked through any chain share a component."""
+    ship(docs.sparkSession)
     content = F.col(f"`{text}`").cast("string")
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(content).alias("text_hash"), content.alias("text"))
     known = durable(sketches(rows), "sketches")
@@ -149,30 +220,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
         "classes",
     )
     members = classes.select("node", "n", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot <> last").select("key", "pivot")
-    members = durable(members.join(shared, "key").where("node <> pivot"), "bucket-members")
-
-    wanted = members.select("node").union(members.select("pivot")).distinct()
+    shared = members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = durable(members.join(shared, "key"), "bucket-members")
+    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    # Degree first; among equals the order is that of a hash.
+    rank = F.shiftleft(F.least("degree", F.lit(1 << 40)), 22).bitwiseOR(F.xxhash64("node").bitwiseAND(F.lit((1 << 22) - 1)))
+    pivots = members.join(degrees, "node").groupBy("key").agg(F.max(F.struct(rank, "node")).alias("best")).select("key", F.col("best.node").alias("pivot"))
+    stars = durable(members.select("key", "node", "n").join(pivots, "key").where("node <> pivot").select("pivot", "node", "n").distinct(), "stars")
+
+    wanted = stars.select("node").union(stars.select("pivot")).distinct()
     wanted = wanted.join(classes.select("node", "from.*"), "node").select("node", F.col("doc_id").alias("want_id"), F.col("text_hash").alias("want_hash"))
     texts = rows.join(wanted, (F.col("text_hash") == F.col("want_hash")) & F.col("doc_id").eqNullSafe(F.col("want_id")))
     sets = durable(_sets(texts.select("node", "text")).dropDuplicates(["node"]), "shingle-sets")
 
-    pairs = members.select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
-    first = durable(_verified(pairs, sets), "pivot-pairs")
-    linked = F.col("shared") * 100 >= F.col("total") * PERCENT
-    links = first.where(linked).select("u", "v")
+    first = _verified(stars.select(F.col("pivot").alias("u"), F.col("node").alias("v")), sets)
+    links = durable(first.where(F.col("shared") * 100 >= F.col("total") * PERCENT).select("u", "v"), "pivot-links")
     labels = components(links)
-
-    away = first.select(F.col("u").alias("pivot"), F.col("v").alias("node"), (1 - F.col("shared") / F.col("total")).alias("away"))
-    open_ = members.join(away, ["pivot", "node"]).join(labels, "node", "left")
-    open_ = open_.select("key", "node", "n", "away", F.coalesce("label", "node").alias("label"))
-    mixed = open_.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    open_ = durable(open_.join(mixed, "key"), "open-members")
-    x = open_.select("key", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("away").alias("du"), F.col("label").alias("lu"))
-    y = open_.select("key", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("away").alias("dv"), F.col("label").alias("lv"))
-    rest = x.join(y, "key").where((F.col("lu") < F.col("lv")) & _similar_sizes("nu", "nv") & (F.abs(F.col("du") - F.col("dv")) <= 1 - PERCENT / 100 + 1e-9))
-    more = _verified(rest.select("u", "v").distinct(), sets).where(linked).select("u", "v")
-    labels = components(links.union(more))
+    labels = components(links.union(_within_stars(stars, labels, sets)))
 
     ids = classes.select("node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))
