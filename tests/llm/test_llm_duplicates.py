@@ -163,7 +163,7 @@ def test_repeated_passages(spark):
         if i in carriers:
             w = t.split()
             at = next(k for k in range(len(w)) if sum(a == b for a, b in zip(w[k : k + 70], passage)) >= 60)
-            assert any(a <= at + 12 and b >= at + 58 for a, b, _ in spans[i])
+            assert any(a <= at + 9 and b >= at + 61 for a, b, _ in spans[i])
     assert all(p is not None and (p != i or i == 72) for i in (70, 71, 72) for _, _, p in spans[i])
     assert substrings.passages(docs.limit(0)).count() == 0
 
