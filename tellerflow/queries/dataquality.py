@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tellerflow import schemas as S
 from tellerflow.lake import Lake
 from tellerflow.operators import sinks
 from tellerflow.plans import quality
-from tellerflow.queries.oracle import D
+from tellerflow.queries.oracle import D, raw_values
 from tellerflow.queries.registry import query
 
 BAD_OFFER = """(cross_sell_score IS NULL OR cross_sell_score < 0 OR cross_sell_score > 100 OR coalesce(trim(recommended_product), '') = ''
@@ -16,6 +20,11 @@ BAD_OFFER = """(cross_sell_score IS NULL OR cross_sell_score < 0 OR cross_sell_s
   OR coalesce(contact_eligible_flag, 9) NOT IN (0, 1) OR (contact_eligible_flag = 1) = (suppression_reason IS NOT NULL))"""
 
 
+def _texts(ddl: str) -> list[str]:
+    """The text columns of a declared schema."""
+    return re.findall(r"(\w+) string\b", ddl, re.IGNORECASE)
+
+
 def _dup(view: str, key: str) -> str:
     return f"(SELECT count(*) FROM (SELECT 1 FROM {view} GROUP BY {key} HAVING count(*) > 1))"
 
@@ -61,11 +70,11 @@ SQL = {
         "(SELECT count(*) FROM g_mart JOIN g_balance b USING (customer_id) WHERE g_mart.aum_total <> b.aum_total OR g_mart.total_loan_outstanding <> b.total_loan_outstanding)",
         "(SELECT count(*) FROM h_cust)"),
     "masked_mart_matches_gold_current": (_missing("g_mart", "(SELECT customer_id FROM g_mart)"), _N),
-    "masked_mart_has_no_raw_pii_columns": ("0", "33"),
+    "masked_mart_has_no_raw_pii_columns": (raw_values("g_mart", _texts(S.MART_360.ddl)), "(SELECT count(*) FROM g_mart)"),
     "dashboard_customer_date_is_unique": (_dup("s_dash", "customer_id, cob_dt"), "(SELECT count(*) FROM s_dash)"),
     "dashboard_population_matches_gold_history": (_missing("g_mart", "s_dash"), _N),
     "dashboard_nbo_contract_is_valid": (f"(SELECT count(*) FROM s_dash WHERE {BAD_OFFER})", "(SELECT count(*) FROM s_dash)"),
-    "dashboard_has_no_raw_pii_columns": ("0", "46"),
+    "dashboard_has_no_raw_pii_columns": (raw_values("s_dash", _texts(S.DASHBOARD_360.ddl)), "(SELECT count(*) FROM s_dash)"),
     "all_rfm_segments_reachable": ("7 - (SELECT count(DISTINCT rfm_segment) FROM g_rfm)", "(SELECT count(*) FROM g_rfm)"),
 }
 
@@ -98,7 +107,7 @@ def dq_run_checks(lake: Lake) -> DataFrame:
     f"check_name, severity, DATE '{D}' AS cob_dt, 'daily' AS pipeline_run_id, 'dq-1' AS dq_run_id, failed_count = 0 AS passed, failed_count, total_count"))
 def dq_result_log(lake: Lake) -> DataFrame:
     """Run, store and read back the result rows."""
-    path = f"{lake.root}/dq-results"
+    path = f"{lake.root}/dq-results-{uuid.uuid4().hex[:8]}"
     results = quality.run_checks(quality.CHECKS, lake.tables(), lake.day, "daily", "dq-1")
     sinks.append(quality.result_frame(lake.spark, results), path)
     stored = lake.spark.read.parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tellerflow.lake import Lake
-from tellerflow.plans import serving
+from tellerflow.plans import marts, serving
 from tellerflow.queries.registry import query
 
 _MARTS = {
@@ -32,6 +32,12 @@ for _name, (_plan, _view) in _MARTS.items():
     _register(_name, _plan, _view)
 
 
+@query("branch_monthly_summary_bootstrap", "SELECT * FROM g_branch_all")
+def branch_months_of_all_events(lake: Lake) -> DataFrame:
+    """Each account's first version also covers what came before it, so every event counts."""
+    return marts.branch_monthly_summary(lake.silver(), lake.day, bootstrap=True)
+
+
 @query("mart_customer_360_current", "SELECT * FROM gg_mart WHERE cob_dt = (SELECT max(cob_dt) FROM gg_mart)")
 def mart_current(lake: Lake) -> DataFrame:
     return serving.current_mart(lake.gold("customer_360"), lake.day)

@@ -20,6 +20,15 @@ def pick(index: str, values: list[str]) -> str:
     return f"[{', '.join(repr(v) for v in values)}][CAST({index} AS INTEGER) + 1]"
 
 
+def draw(key: str, salt: int, n: int) -> str:
+    """A number below n that the key and the salt decide."""
+    return f"(((CAST({key} AS BIGINT) % 999983) * {104_729 + 15_838 * salt} + {31 * salt}) % 999983 % {n})"
+
+
+def title(text: str) -> str:
+    return f"upper({text}[1]) || lower({text}[2:])"
+
+
 def half_up(total: str, n: str, scale: int) -> str:
     """total / n rounded half away from zero at a scale, in exact integer arithmetic; total has two decimals."""
     up = 10**scale
@@ -28,105 +37,113 @@ def half_up(total: str, n: str, scale: int) -> str:
     return f"CAST(sign({total}) * CAST({q} AS DECIMAL(24,0)) AS DECIMAL(24,0)) * CAST({10.0 ** -scale:.{scale}f} AS DECIMAL({scale + 1},{scale}))"
 
 
+def raw_values(view: str, texts: list[str]) -> str:
+    """Rows of a view of which a text is the customer's own name, phone, e-mail or national id on the processing date."""
+    shown, own = ", ".join(f"s.{c}" for c in texts), "c.full_name, c.phone, c.email, c.cccd"
+    present = "list_filter([{}], lambda x: x IS NOT NULL)"
+    return (f"(SELECT count(*) FROM {view} s JOIN h_cust c ON s.customer_id = c.customer_id "
+            f"WHERE list_has_any({present.format(shown)}, {present.format(own)}))")
+
+
 # --- feeds of the first day ------------------------------------------------------------------------
 
 V["e_branch"] = f"""
-SELECT 'B' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS branch_code, 'Branch ' || n_name AS branch_name,
-  r_name AS region, n_name AS city, 'District ' || (n_nationkey % 5) AS district,
-  'No ' || ((n_nationkey * 17) % 299 + 1) || ' Main Street' AS address, 'Manager ' || n_nationkey AS manager_name,
-  DATE '2015-01-01' + CAST((n_nationkey * 37) % 365 AS INTEGER) AS open_date, 'ACTIVE' AS status, {T0} AS last_updated
-FROM nation JOIN region ON n_regionkey = r_regionkey"""
+SELECT 'B' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS branch_code, n_name || ' Office' AS branch_name,
+  r_name AS region, n_name AS city, 'Ward ' || {draw('n_nationkey', 40, 12)} AS district,
+  ({draw('n_nationkey', 41, 400)} + 1) || ' ' || {{region}} || ' Square' AS address, 'Head of ' || n_name AS manager_name,
+  DATE '2009-05-04' + CAST({draw('n_nationkey', 42, 3000)} AS INTEGER) AS open_date, 'ACTIVE' AS status, {T0} AS last_updated
+FROM nation JOIN region ON n_regionkey = r_regionkey""".replace(
+    "{region}", "array_to_string([upper(w[1]) || lower(w[2:]) for w in string_split(r_name, ' ')], ' ')"
+)
 
 V["e_product"] = f"""
 SELECT CAST(p_partkey AS VARCHAR) AS product_code, p_name AS product_name,
-  {pick('p_partkey % 3', ['DEPOSIT', 'LOAN', 'CARD'])} AS product_group, p_type AS product_type, 'VND' AS currency,
-  CAST(p_size % 10 <> 0 AS INTEGER) AS is_active, DATE '2015-01-01' + p_size AS launch_date, {T0} AS last_updated
+  {pick(draw('p_partkey', 43, 3), ['DEPOSIT', 'LOAN', 'CARD'])} AS product_group, p_type AS product_type, 'VND' AS currency,
+  CAST(p_size > 4 AS INTEGER) AS is_active, DATE '2012-09-01' + CAST(p_size * 30 AS INTEGER) AS launch_date, {T0} AS last_updated
 FROM part"""
 
 V["e_customer"] = f"""
-SELECT i AS customer_id, lpad(CAST(i AS VARCHAR), 12, '0') AS cccd,
-  concat_ws(' ', fam, CASE WHEN i % 3 = 0 THEN mid END, CASE WHEN i % 3 < 2 THEN giv END) AS full_name,
-  CASE i % 3 WHEN 0 THEN 'F' ELSE 'M' END AS gender,
-  DATE '1960-01-01' + CAST((i * 137) % 13870 AS INTEGER) AS date_of_birth,
-  CASE WHEN i % 97 = 0 THEN NULL ELSE '09' || lpad(CAST((i * 9973) % 100000000 AS VARCHAR), 8, '0') END AS phone,
-  CASE WHEN i % 97 = 1 THEN NULL ELSE 'fam' || (i % 16) || 'x' || ((i * 97) % 9000 + 1000) || '@mail' || (i % 5) || '.com' END AS email,
-  'No ' || ((i * 17) % 299 + 1) || ' Street ' || (i % 15) AS address, 'City ' || (i % 3) AS city,
-  'District ' || (i % 5) AS district, 'B' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS branch_code,
-  {{seg}} AS customer_segment,
-  CASE WHEN i % 100 >= 98 THEN 'REJECTED' WHEN i % 100 >= 90 THEN 'PENDING' ELSE 'VERIFIED' END AS kyc_status,
-  DATE '2023-01-01' - CAST((i * 37) % 2190 AS INTEGER) AS register_date, CAST(i % 33 <> 0 AS INTEGER) AS is_active,
+SELECT i AS customer_id, lpad(CAST(c_nationkey AS VARCHAR), 3, '0') || lpad(CAST(i AS VARCHAR), 12, '0') AS cccd,
+  CASE {draw('i', 1, 3)} WHEN 0 THEN kind WHEN 1 THEN kind || ' ' || number ELSE market || ' ' || kind || ' ' || number END AS full_name,
+  CASE {draw('i', 2, 2)} WHEN 0 THEN 'F' ELSE 'M' END AS gender,
+  DATE '1950-06-15' + CAST({draw('i', 3, 20000)} AS INTEGER) AS date_of_birth,
+  CASE WHEN {draw('i', 4, 50)} > 0 THEN '03' || lpad(CAST({draw('i', 5, 999983)} AS VARCHAR), 8, '0') END AS phone,
+  CASE WHEN {draw('i', 6, 50)} > 0 THEN lower(kind || '.' || number) || '@' || lower(c_mktsegment) || '.example' END AS email,
+  ({draw('i', 7, 400)} + 1) || ' ' || market || ' Road' AS address, 'City ' || {draw('i', 8, 9)} AS city,
+  'Ward ' || {draw('i', 9, 12)} AS district, 'B' || lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS branch_code,
+  CASE WHEN c_acctbal < 7000 THEN 'RETAIL' WHEN c_acctbal < 9000 THEN 'PRIORITY' ELSE 'VIP' END AS customer_segment,
+  CASE WHEN {draw('i', 10, 20)} > 2 THEN 'VERIFIED' WHEN {draw('i', 10, 20)} > 0 THEN 'PENDING' ELSE 'REJECTED' END AS kyc_status,
+  DATE '2017-03-01' + CAST({draw('i', 11, 2100)} AS INTEGER) AS register_date, CAST({draw('i', 12, 25)} > 0 AS INTEGER) AS is_active,
   {T0} AS last_updated
-FROM (SELECT c_custkey AS i, c_nationkey, 'Fam' || (c_custkey % 16) AS fam, 'Mid' || ((c_custkey // 16) % 10) AS mid,
-  'Giv' || ((c_custkey // 160) % 20) AS giv FROM customer)""".replace(
-    "{seg}", "CASE WHEN i % 20 = 0 THEN 'VIP' WHEN i % 20 < 6 THEN 'PRIORITY' ELSE 'RETAIL' END"
-)
+FROM (SELECT c_custkey AS i, c_nationkey, c_acctbal, c_mktsegment, {title('c_mktsegment')} AS market,
+  split_part(c_name, '#', 1) AS kind, split_part(c_name, '#', 2) AS number FROM customer)"""
 
-V["e_order"] = """
+V["e_order"] = f"""
 SELECT o_orderkey AS k, o_custkey AS customer_id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 2000 AS DECIMAL(18,2)) AS balance,
   CAST(o_orderdate AS DATE) AS open_date,
   CASE WHEN o_orderpriority[1] IN ('1', '2') THEN 'TIME_DEPOSIT' ELSE 'CASA' END AS account_type,
   CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'P' THEN 'FROZEN' ELSE 'CLOSED' END AS status,
-  CAST(o_orderkey % 200 AS VARCHAR) AS product_code, 'B' || lpad(CAST(o_orderkey % 25 AS VARCHAR), 3, '0') AS branch_code
+  CAST({draw('o_orderkey', 20, 200)} AS VARCHAR) AS product_code,
+  'B' || lpad(CAST({draw('o_orderkey', 21, 25)} AS VARCHAR), 3, '0') AS branch_code
 FROM orders"""
 
 V["e_account"] = f"""
-SELECT k AS account_id, '090' || lpad(CAST(k AS VARCHAR), 10, '0') AS account_no, customer_id, product_code, branch_code,
-  account_type, 'VND' AS currency, balance, open_date, CASE status WHEN 'CLOSED' THEN open_date + 365 END AS close_date,
+SELECT k AS account_id, '771' || lpad(CAST(k AS VARCHAR), 12, '0') AS account_no, customer_id, product_code, branch_code,
+  account_type, 'VND' AS currency, balance, open_date, CASE status WHEN 'CLOSED' THEN open_date + 400 END AS close_date,
   status, {T0} AS last_updated
 FROM e_order"""
 
 V["e_deposit"] = f"""
-SELECT k AS deposit_id, k AS account_id, customer_id, product_code, CAST(balance * 0.5 AS DECIMAL(18,2)) AS principal_amount,
-  CAST(3 + k % 6 AS DECIMAL(5,2)) AS interest_rate, term AS term_months, open_date,
+SELECT k AS deposit_id, k AS account_id, customer_id, product_code, CAST(balance * 0.4 AS DECIMAL(18,2)) AS principal_amount,
+  CAST(2 + {draw('k', 23, 5)} AS DECIMAL(5,2)) AS interest_rate, term AS term_months, open_date,
   CAST(open_date + to_months(term) AS DATE) AS maturity_date,
-  CASE WHEN k % 10 = 9 THEN 'EARLY_WITHDRAWN' WHEN k % 10 >= 7 THEN 'MATURED' ELSE 'ACTIVE' END AS status, {T0} AS last_updated
-FROM (SELECT *, [1, 3, 6, 12, 24, 36][CAST(k % 6 AS INTEGER) + 1] AS term FROM e_order WHERE account_type = 'TIME_DEPOSIT')"""
+  CASE WHEN {draw('k', 24, 20)} > 17 THEN 'EARLY_WITHDRAWN' WHEN {draw('k', 24, 20)} > 13 THEN 'MATURED' ELSE 'ACTIVE' END AS status, {T0} AS last_updated
+FROM (SELECT *, [2, 4, 9, 18, 30][CAST({draw('k', 22, 5)} AS INTEGER) + 1] AS term FROM e_order WHERE account_type = 'TIME_DEPOSIT')"""
 
 V["e_loan"] = f"""
 SELECT k AS loan_id, customer_id, product_code, branch_code, balance AS loan_amount,
-  CAST(balance * 0.25 AS DECIMAL(18,2)) AS outstanding_balance, CAST(8 + k % 3 AS DECIMAL(5,2)) AS interest_rate,
+  CAST(balance * 0.3 AS DECIMAL(18,2)) AS outstanding_balance, CAST(7 + {draw('k', 25, 6)} AS DECIMAL(5,2)) AS interest_rate,
   term AS term_months, open_date AS disbursement_date, CAST(open_date + to_months(term) AS DATE) AS maturity_date,
-  CASE WHEN k % 100 >= 95 THEN 'WRITTEN_OFF' WHEN k % 100 >= 85 THEN 'OVERDUE' WHEN k % 100 >= 70 THEN 'CLOSED' ELSE 'ACTIVE' END AS loan_status,
+  CASE WHEN s > 37 THEN 'WRITTEN_OFF' WHEN s > 31 THEN 'OVERDUE' WHEN s > 23 THEN 'CLOSED' ELSE 'ACTIVE' END AS loan_status,
   {T0} AS last_updated
-FROM (SELECT *, [12, 24, 36, 60][CAST(k % 4 AS INTEGER) + 1] AS term FROM e_order WHERE k % 5 = 0)"""
+FROM (SELECT *, {draw('k', 26, 40)} AS s, [18, 30, 48][CAST({draw('k', 27, 3)} AS INTEGER) + 1] AS term FROM e_order)"""
 
 V["e_card"] = f"""
-SELECT i AS card_id,
-  '4000 ' || lpad(CAST((i // 10000) % 10000 AS VARCHAR), 4, '0') || ' **** ' || lpad(CAST(i % 10000 AS VARCHAR), 4, '0') AS card_no_masked,
+SELECT i AS card_id, '5100 **** **** ' || lpad(CAST({draw('i', 13, 10000)} AS VARCHAR), 4, '0') AS card_no_masked,
   i AS customer_id, CASE WHEN NOT credit THEN i END AS account_id, CASE WHEN credit THEN 'CC' ELSE 'DC' END AS product_code,
-  CASE WHEN credit THEN 'CREDIT' ELSE 'DEBIT' END AS card_type, {pick('i % 4', ['VISA', 'MASTER', 'JCB', 'NAPAS'])} AS card_brand,
-  CASE WHEN credit THEN CAST((i % 90 + 10) * 1000000 AS DECIMAL(18,2)) END AS credit_limit,
-  DATE '2022-01-01' + CAST((i * 13) % 365 AS INTEGER) AS issue_date, DATE '2026-01-01' + CAST((i * 7) % 365 AS INTEGER) AS expiry_date,
-  CASE WHEN i % 20 = 7 THEN 'BLOCKED' WHEN i % 100 = 99 THEN 'CLOSED' ELSE 'ACTIVE' END AS status, {T0} AS last_updated
-FROM (SELECT c_custkey AS i, c_custkey % 100 < CASE WHEN c_custkey % 20 = 0 THEN 70 WHEN c_custkey % 20 < 6 THEN 50 ELSE 15 END AS credit FROM customer)"""
+  CASE WHEN credit THEN 'CREDIT' ELSE 'DEBIT' END AS card_type, {pick(draw('i', 14, 4), ['JCB', 'MASTER', 'NAPAS', 'VISA'])} AS card_brand,
+  CASE WHEN credit THEN CAST(({draw('i', 15, 80)} + 5) * 1000000 AS DECIMAL(18,2)) END AS credit_limit,
+  DATE '2021-07-01' + CAST({draw('i', 16, 700)} AS INTEGER) AS issue_date, DATE '2026-02-01' + CAST({draw('i', 17, 900)} AS INTEGER) AS expiry_date,
+  CASE {draw('i', 18, 20)} WHEN 0 THEN 'BLOCKED' WHEN 1 THEN 'CLOSED' ELSE 'ACTIVE' END AS status, {T0} AS last_updated
+FROM (SELECT c_custkey AS i, c_acctbal >= 5500 AS credit FROM customer)"""
 
 V["e_txn"] = f"""
 SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || CAST(l_shipdate AS DATE) AS txn_id,
-  l_orderkey AS account_id, o_custkey AS customer_id, l_shipdate + to_days(8122) + to_seconds(l_partkey % 86400) AS txn_date,
-  CAST(l_extendedprice AS DECIMAL(18,2)) * CASE WHEN l_linenumber % 3 = 0 THEN -1 ELSE 1 END AS txn_amount,
-  {pick('l_linenumber % 6', ['DEPOSIT', 'WITHDRAWAL', 'TRANSFER_IN', 'TRANSFER_OUT', 'FEE', 'INTEREST'])} AS txn_type,
-  CASE l_linenumber % 2 WHEN 0 THEN 'D' ELSE 'C' END AS debit_credit, CAST(l_quantity * 1000 AS DECIMAL(18,2)) AS balance_after,
-  {pick('l_partkey % 5', ['BRANCH', 'ATM', 'INTERNET_BANKING', 'MOBILE_BANKING', 'POS'])} AS channel,
-  'TX-' || l_orderkey || '-' || l_linenumber AS description, CAST(NULL AS VARCHAR) AS counter_account
+  l_orderkey AS account_id, o_custkey AS customer_id, l_shipdate + to_days(8122) + to_seconds({draw('l_partkey', 29, 86400)}) AS txn_date,
+  CAST(l_extendedprice AS DECIMAL(18,2)) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS txn_amount,
+  {pick(draw('l_suppkey + l_linenumber', 28, 6), ['DEPOSIT', 'FEE', 'INTEREST', 'TRANSFER_IN', 'TRANSFER_OUT', 'WITHDRAWAL'])} AS txn_type,
+  CASE l_linestatus WHEN 'F' THEN 'D' ELSE 'C' END AS debit_credit, CAST(l_quantity * 1000 AS DECIMAL(18,2)) AS balance_after,
+  {pick(draw('l_partkey', 30, 5), ['ATM', 'BRANCH', 'INTERNET_BANKING', 'MOBILE_BANKING', 'POS'])} AS channel,
+  'Order ' || l_orderkey || ' line ' || l_linenumber AS description, CAST(NULL AS VARCHAR) AS counter_account
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 V["e_card_txn"] = f"""
 SELECT event_id AS txn_id, user_id AS card_id, user_id AS customer_id, ts AS txn_date, CAST(value AS DECIMAL(18,2)) AS txn_amount,
   CASE event_type WHEN 'click' THEN 'CASH_ADVANCE' WHEN 'signup' THEN 'REFUND' ELSE 'PURCHASE' END AS txn_type, 'VND' AS currency,
-  'Merchant-' || (event_id % 100) AS merchant_name,
-  {pick('event_id % 6', ['GROCERY', 'RESTAURANT', 'TRAVEL', 'ECOM', 'FUEL', 'EDUCATION'])} AS merchant_category,
-  {pick('event_id % 3', ['POS', 'ECOM', 'ATM'])} AS channel,
-  CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 50 = 0 THEN 'PENDING' ELSE 'SUCCESS' END AS status
+  'Shop ' || {draw('event_id', 31, 120)} AS merchant_name,
+  {pick(draw('event_id', 32, 6), ['ECOM', 'EDUCATION', 'FUEL', 'GROCERY', 'RESTAURANT', 'TRAVEL'])} AS merchant_category,
+  {pick(draw('event_id', 33, 3), ['ATM', 'ECOM', 'POS'])} AS channel,
+  CASE WHEN event_type = 'error' THEN 'FAILED' WHEN {draw('event_id', 34, 40)} = 0 THEN 'PENDING' ELSE 'SUCCESS' END AS status
 FROM events"""
 
 V["e_crm"] = f"""
 SELECT event_id AS interaction_id, user_id AS customer_id, ts AS interaction_date,
-  {pick('event_id % 5', ['CALL', 'EMAIL', 'CHAT', 'BRANCH', 'SMS'])} AS channel,
-  CASE event_id % 2 WHEN 0 THEN 'OUTBOUND' ELSE 'INBOUND' END AS direction, 'Interaction ' || event_id AS subject,
-  {pick('event_id % 5', ['COMPLAINT', 'INQUIRY', 'CAMPAIGN', 'CROSS_SELL', 'RETENTION'])} AS category,
-  CASE WHEN event_id % 100 < 95 THEN 'RESOLVED' WHEN event_id % 100 < 98 THEN 'OPEN' END AS status,
-  'Agent-' || (event_id % 50 + 1) AS assigned_to
-FROM events WHERE event_id % 3 = 0"""
+  {pick(draw('event_id', 35, 5), ['BRANCH', 'CALL', 'CHAT', 'EMAIL', 'SMS'])} AS channel,
+  CASE {draw('event_id', 36, 2)} WHEN 0 THEN 'INBOUND' ELSE 'OUTBOUND' END AS direction, 'About ' || event_type || ' ' || event_id AS subject,
+  {pick(draw('event_id', 38, 5), ['CAMPAIGN', 'COMPLAINT', 'CROSS_SELL', 'INQUIRY', 'RETENTION'])} AS category,
+  CASE {draw('event_id', 37, 200)} WHEN 0 THEN NULL WHEN 1 THEN 'OPEN' ELSE 'RESOLVED' END AS status,
+  'Desk ' || {draw('event_id', 39, 60)} AS assigned_to
+FROM events"""
 
 # --- second day and versioned dimensions -----------------------------------------------------------
 
@@ -390,6 +407,11 @@ LEFT JOIN (SELECT branch_code, txn_year, txn_month, channel FROM b_rows GROUP BY
   QUALIFY row_number() OVER (PARTITION BY branch_code, txn_year, txn_month ORDER BY count(*) DESC, channel) = 1) t USING (branch_code, txn_year, txn_month)
 LEFT JOIN (SELECT * FROM d_branch WHERE effective_from <= DATE '{D}' AND effective_to >= DATE '{D}') b USING (branch_code)"""
 
+V["b_all"] = """
+SELECT a.branch_code, year(f.txn_date) AS txn_year, month(f.txn_date) AS txn_month, f.customer_id, f.channel, f.txn_amount, f.debit_credit
+FROM f_acct f JOIN d_account a USING (account_sk)"""
+V["g_branch_all"] = V["g_branch"].replace("b_rows", "b_all")
+
 V["s_dash"] = """
 SELECT m.* EXCLUDE (cob_dt),
   CASE WHEN m.age IS NULL THEN 'UNKNOWN' WHEN m.age >= 65 THEN '65+' WHEN m.age < 25 THEN '18-24'

@@ -9,7 +9,8 @@ from tellerflow import schemas as S
 from tellerflow.functions import columns as C
 from tellerflow.lake import SALT, Lake
 from tellerflow.plans import quality, serving
-from tellerflow.queries.oracle import D
+from tellerflow.queries.dataquality import _texts
+from tellerflow.queries.oracle import D, raw_values
 from tellerflow.queries.registry import query
 
 _FULL = """CASE len(string_split(full_name, ' ')) WHEN 1 THEN full_name[1] || '**'
@@ -50,10 +51,13 @@ def generalize_age_address(lake: Lake) -> DataFrame:
     return lake.feed("customer").select("customer_id", decade.alias("age_group_decade"), "city", "district")
 
 
-@query("dim_customer_masked", f"""
+_MASKED = f"""
 SELECT customer_sk, customer_id, {_FULL} AS full_name_masked, gender, date_diff('day', date_of_birth, DATE '{D}') // 3650 * 10 AS age_group_decade,
   {_PHONE} AS phone_masked, {_EMAIL} AS email_masked, sha256(cccd || '{SALT}') AS cccd_hash, city, district, branch_code, customer_segment, kyc_status,
-  register_date, is_active, effective_from, effective_to, is_current, last_updated FROM d_customer""")
+  register_date, is_active, effective_from, effective_to, is_current, last_updated FROM d_customer"""
+
+
+@query("dim_customer_masked", _MASKED)
 def dim_customer_masked(lake: Lake) -> DataFrame:
     return serving.customer_masked(lake.dim("customer"), lake.day, SALT)
 
@@ -72,16 +76,25 @@ def dashboard_mart(lake: Lake) -> DataFrame:
     return lake.spark.read.schema(S.DASHBOARD_360.struct).parquet(path)
 
 
-@query("assert_no_pii_columns", """
-SELECT 'dim_customer' AS table_name, 5 AS failed_count, 20 AS total_count UNION ALL SELECT 'mart_customer_360_masked', 0, 33
-UNION ALL SELECT 'mart_customer_360_dashboard', 0, 46 UNION ALL SELECT 'dim_customer_masked', 0, 19""")
+_SHOWN = {
+    "dim_customer": ("d_customer", _texts(S.CUSTOMER), 5),
+    "mart_customer_360_masked": ("g_mart", _texts(S.MART_360.ddl), 0),
+    "mart_customer_360_dashboard": ("s_dash", _texts(S.DASHBOARD_360.ddl), 0),
+    "dim_customer_masked": (f"({_MASKED})", "full_name_masked gender phone_masked email_masked cccd_hash city district branch_code customer_segment kyc_status".split(), 0),
+}
+
+
+@query("assert_no_pii_columns", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, {exposed} + {raw_values(view, texts)} AS failed_count, (SELECT count(*) FROM {view}) AS total_count"
+    for name, (view, texts, exposed) in _SHOWN.items()))
 def assert_no_pii_columns(lake: Lake) -> DataFrame:
+    """Exposed columns and rows with raw values; the unmasked dimension itself shows what the check finds."""
     frames = {
         "dim_customer": lake.dim("customer"), "mart_customer_360_masked": lake.masked(), "mart_customer_360_dashboard": lake.dashboard(),
         "dim_customer_masked": serving.customer_masked(lake.dim("customer"), lake.day, SALT),
     }
     rows = None
     for name, df in frames.items():
-        one = quality.schema_check(df).withColumn("table_name", F.lit(name))
+        one = quality.pii_check(df, lake.dim("customer"), lake.day).withColumn("table_name", F.lit(name))
         rows = one if rows is None else rows.unionByName(one)
     return rows

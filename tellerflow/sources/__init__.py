@@ -1 +1 @@
-"""Readers: driver tables as banking feeds, layered files, JDBC, generated feeds."""
+"""Readers: driver tables as banking feeds, layered files and JDBC options."""

@@ -1,8 +1,10 @@
 """The given tables seen as banking feeds.
 
-Every function is a lazy projection (plus the joins the feed needs); ids drive
-the attribute values by modulus arithmetic, so the feeds are deterministic and
-grow with the given tables.
+Every function is a lazy projection (plus the joins the feed needs). Attributes
+come from the given columns where they have one to offer (names, market segment,
+balances, order status and priority, return and line status, event kind); the
+rest is drawn from the row's key, so the feeds are deterministic and grow with
+the given tables.
 """
 
 from __future__ import annotations
@@ -39,17 +41,26 @@ def _date_plus(base: str, days: Column) -> Column:
     return F.date_add(day_lit(base), days.cast("int"))
 
 
+DRAW_BASE = 999_983  # a prime; draws repeat with this period of the key
+
+
+def draw(key: Column, salt: int, n: int) -> Column:
+    """A number below n that the key and the salt decide."""
+    mixed = (key.cast("long") % DRAW_BASE) * (104_729 + 15_838 * salt) + 31 * salt
+    return mixed % DRAW_BASE % n
+
+
 def branch(nation: DataFrame, region: DataFrame) -> DataFrame:
     n = F.col("n_nationkey")
     rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         _text("B", F.lpad(n.cast("string"), 3, "0")).alias("branch_code"),
-        _text("Branch ", F.col("n_name")).alias("branch_name"),
+        _text(F.col("n_name"), " Office").alias("branch_name"),
         F.col("r_name").alias("region"),
         F.col("n_name").alias("city"),
-        _text("District ", n % 5).alias("district"),
-        _text("No ", (n * 17) % 299 + 1, " Main Street").alias("address"),
-        _text("Manager ", n).alias("manager_name"),
-        _date_plus("2015-01-01", (n * 37) % 365).alias("open_date"),
+        _text("Ward ", draw(n, 40, 12)).alias("district"),
+        _text(draw(n, 41, 400) + 1, " ", F.initcap("r_name"), " Square").alias("address"),
+        _text("Head of ", F.col("n_name")).alias("manager_name"),
+        _date_plus("2009-05-04", draw(n, 42, 3000)).alias("open_date"),
         F.lit("ACTIVE").alias("status"),
         ts_lit(BASE_TS).alias("last_updated"),
     )
@@ -61,49 +72,37 @@ def product(part: DataFrame) -> DataFrame:
     rows = part.select(
         p.cast("string").alias("product_code"),
         F.col("p_name").alias("product_name"),
-        _pick(p % 3, ["DEPOSIT", "LOAN", "CARD"]).alias("product_group"),
+        _pick(draw(p, 43, 3), ["DEPOSIT", "LOAN", "CARD"]).alias("product_group"),
         F.col("p_type").alias("product_type"),
         F.lit("VND").alias("currency"),
-        (F.col("p_size") % 10 != 0).cast("int").alias("is_active"),
-        _date_plus("2015-01-01", F.col("p_size")).alias("launch_date"),
+        (F.col("p_size") > 4).cast("int").alias("is_active"),
+        _date_plus("2012-09-01", F.col("p_size") * 30).alias("launch_date"),
         ts_lit(BASE_TS).alias("last_updated"),
     )
     return S.conform(rows, S.PRODUCT)
 
 
-def segment_of(i: Column) -> Column:
-    return ladder([(i % 20 == 0, "VIP"), (i % 20 <= 5, "PRIORITY")], "RETAIL")
-
-
-def holds_credit_card(i: Column) -> Column:
-    """Share of credit cards by segment: 70, 50 and 15 per cent."""
-    limit = F.when(i % 20 == 0, 70).when(i % 20 <= 5, 50).otherwise(15)
-    return i % 100 < limit
-
-
 def customer(customers: DataFrame) -> DataFrame:
-    i = F.col("c_custkey")
-    family, middle = _text("Fam", i % 16), _text("Mid", F.expr("c_custkey div 16") % 10)
-    given = _text("Giv", F.expr("c_custkey div 160") % 20)
+    i, balance, words = F.col("c_custkey"), F.col("c_acctbal"), F.split("c_name", "#")
+    market = F.initcap("c_mktsegment")
     rows = customers.select(
         i.alias("customer_id"),
-        F.lpad(i.cast("string"), 12, "0").alias("cccd"),
-        F.when(i % 3 == 0, F.concat_ws(" ", family, middle, given))
-        .when(i % 3 == 1, F.concat_ws(" ", family, given))
-        .otherwise(family)
-        .alias("full_name"),
-        F.when(i % 3 == 0, "F").otherwise("M").alias("gender"),
-        _date_plus("1960-01-01", (i * 137) % (365 * 38)).alias("date_of_birth"),
-        F.when(i % 97 != 0, _text("09", F.lpad(((i * 9973) % 100_000_000).cast("string"), 8, "0"))).alias("phone"),
-        F.when(i % 97 != 1, _text("fam", i % 16, "x", (i * 97) % 9000 + 1000, "@mail", i % 5, ".com")).alias("email"),
-        _text("No ", (i * 17) % 299 + 1, " Street ", i % 15).alias("address"),
-        _text("City ", i % 3).alias("city"),
-        _text("District ", i % 5).alias("district"),
+        _text(F.lpad(F.col("c_nationkey").cast("string"), 3, "0"), F.lpad(i.cast("string"), 12, "0")).alias("cccd"),
+        # one, two or three words
+        F.when(draw(i, 1, 3) == 0, words[0]).when(draw(i, 1, 3) == 1, F.array_join(words, " "))
+        .otherwise(F.concat_ws(" ", market, words[0], words[1])).alias("full_name"),
+        F.when(draw(i, 2, 2) == 0, "F").otherwise("M").alias("gender"),
+        _date_plus("1950-06-15", draw(i, 3, 20_000)).alias("date_of_birth"),
+        F.when(draw(i, 4, 50) != 0, _text("03", F.lpad(draw(i, 5, DRAW_BASE).cast("string"), 8, "0"))).alias("phone"),
+        F.when(draw(i, 6, 50) != 0, _text(F.lower(F.array_join(words, ".")), "@", F.lower("c_mktsegment"), ".example")).alias("email"),
+        _text(draw(i, 7, 400) + 1, " ", market, " Road").alias("address"),
+        _text("City ", draw(i, 8, 9)).alias("city"),
+        _text("Ward ", draw(i, 9, 12)).alias("district"),
         _text("B", F.lpad(F.col("c_nationkey").cast("string"), 3, "0")).alias("branch_code"),
-        segment_of(i).alias("customer_segment"),
-        ladder([(i % 100 < 90, "VERIFIED"), (i % 100 < 98, "PENDING")], "REJECTED").alias("kyc_status"),
-        _date_plus("2023-01-01", -((i * 37) % (365 * 6))).alias("register_date"),
-        (i % 33 != 0).cast("int").alias("is_active"),
+        ladder([(balance >= 9000, "VIP"), (balance >= 7000, "PRIORITY")], "RETAIL").alias("customer_segment"),
+        ladder([(draw(i, 10, 20) == 0, "REJECTED"), (draw(i, 10, 20) <= 2, "PENDING")], "VERIFIED").alias("kyc_status"),
+        _date_plus("2017-03-01", draw(i, 11, 2100)).alias("register_date"),
+        (draw(i, 12, 25) != 0).cast("int").alias("is_active"),
         ts_lit(BASE_TS).alias("last_updated"),
     )
     return S.conform(rows, S.CUSTOMER)
@@ -111,21 +110,16 @@ def customer(customers: DataFrame) -> DataFrame:
 
 def _order_attributes(orders: DataFrame) -> DataFrame:
     """Account-level values every order-derived feed shares."""
-    balance = (F.col("o_totalprice").cast("decimal(18,2)") * 2000).cast("decimal(18,2)")
+    k, balance = F.col("o_orderkey"), (F.col("o_totalprice").cast("decimal(18,2)") * 2000).cast("decimal(18,2)")
     return orders.select(
         "o_orderkey",
         "o_custkey",
         balance.alias("balance"),
         F.col("o_orderdate").cast("date").alias("open_date"),
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "TIME_DEPOSIT").otherwise("CASA").alias(
-            "account_type"
-        ),
-        F.when(F.col("o_orderstatus") == "O", "ACTIVE")
-        .when(F.col("o_orderstatus") == "P", "FROZEN")
-        .otherwise("CLOSED")
-        .alias("status"),
-        (F.col("o_orderkey") % 200).cast("string").alias("product_code"),
-        _text("B", F.lpad((F.col("o_orderkey") % 25).cast("string"), 3, "0")).alias("branch_code"),
+        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "TIME_DEPOSIT").otherwise("CASA").alias("account_type"),
+        F.when(F.col("o_orderstatus") == "O", "ACTIVE").when(F.col("o_orderstatus") == "P", "FROZEN").otherwise("CLOSED").alias("status"),
+        draw(k, 20, 200).cast("string").alias("product_code"),
+        _text("B", F.lpad(draw(k, 21, 25).cast("string"), 3, "0")).alias("branch_code"),
     )
 
 
@@ -133,7 +127,7 @@ def account(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
     rows = _order_attributes(orders).select(
         k.alias("account_id"),
-        _text("090", F.lpad(k.cast("string"), 10, "0")).alias("account_no"),
+        _text("771", F.lpad(k.cast("string"), 12, "0")).alias("account_no"),
         F.col("o_custkey").alias("customer_id"),
         "product_code",
         "branch_code",
@@ -141,7 +135,7 @@ def account(orders: DataFrame) -> DataFrame:
         F.lit("VND").alias("currency"),
         "balance",
         "open_date",
-        F.when(F.col("status") == "CLOSED", F.date_add("open_date", 365)).alias("close_date"),
+        F.when(F.col("status") == "CLOSED", F.date_add("open_date", 400)).alias("close_date"),
         "status",
         ts_lit(BASE_TS).alias("last_updated"),
     )
@@ -153,18 +147,18 @@ def deposit(orders: DataFrame) -> DataFrame:
     rows = (
         _order_attributes(orders)
         .where(F.col("account_type") == "TIME_DEPOSIT")
-        .withColumn("term_months", _pick(k % 6, [1, 3, 6, 12, 24, 36]))
+        .withColumn("term_months", _pick(draw(k, 22, 5), [2, 4, 9, 18, 30]))
         .select(
             k.alias("deposit_id"),
             k.alias("account_id"),
             F.col("o_custkey").alias("customer_id"),
             "product_code",
-            (F.col("balance") * F.lit("0.5").cast("decimal(2,1)")).alias("principal_amount"),
-            (F.lit(3) + k % 6).alias("interest_rate"),
+            (F.col("balance") * F.lit("0.4").cast("decimal(2,1)")).alias("principal_amount"),
+            (F.lit(2) + draw(k, 23, 5)).alias("interest_rate"),
             "term_months",
             "open_date",
             F.add_months("open_date", F.col("term_months")).alias("maturity_date"),
-            ladder([(k % 10 < 7, "ACTIVE"), (k % 10 < 9, "MATURED")], "EARLY_WITHDRAWN").alias("status"),
+            ladder([(draw(k, 24, 20) < 14, "ACTIVE"), (draw(k, 24, 20) < 18, "MATURED")], "EARLY_WITHDRAWN").alias("status"),
             ts_lit(BASE_TS).alias("last_updated"),
         )
     )
@@ -173,23 +167,22 @@ def deposit(orders: DataFrame) -> DataFrame:
 
 def loan(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
+    state = draw(k, 26, 40)
     rows = (
-        _order_attributes(orders.where(k % 5 == 0))
-        .withColumn("term_months", _pick(k % 4, [12, 24, 36, 60]))
+        _order_attributes(orders)
+        .withColumn("term_months", _pick(draw(k, 27, 3), [18, 30, 48]))
         .select(
             k.alias("loan_id"),
             F.col("o_custkey").alias("customer_id"),
             "product_code",
             "branch_code",
             F.col("balance").alias("loan_amount"),
-            (F.col("balance") * F.lit("0.25").cast("decimal(3,2)")).alias("outstanding_balance"),
-            (F.lit(8) + k % 3).alias("interest_rate"),
+            (F.col("balance") * F.lit("0.3").cast("decimal(2,1)")).alias("outstanding_balance"),
+            (F.lit(7) + draw(k, 25, 6)).alias("interest_rate"),
             "term_months",
             F.col("open_date").alias("disbursement_date"),
             F.add_months("open_date", F.col("term_months")).alias("maturity_date"),
-            ladder([(k % 100 < 70, "ACTIVE"), (k % 100 < 85, "CLOSED"), (k % 100 < 95, "OVERDUE")], "WRITTEN_OFF").alias(
-                "loan_status"
-            ),
+            ladder([(state < 24, "ACTIVE"), (state < 32, "CLOSED"), (state < 38, "OVERDUE")], "WRITTEN_OFF").alias("loan_status"),
             ts_lit(BASE_TS).alias("last_updated"),
         )
     )
@@ -198,29 +191,28 @@ def loan(orders: DataFrame) -> DataFrame:
 
 def card(customers: DataFrame) -> DataFrame:
     i = F.col("c_custkey")
-    credit = holds_credit_card(i)
+    credit = F.col("c_acctbal") >= 5500
     rows = customers.select(
         i.alias("card_id"),
-        _text("4000 ", F.lpad((F.expr("c_custkey div 10000") % 10000).cast("string"), 4, "0"), " **** ",
-              F.lpad((i % 10000).cast("string"), 4, "0")).alias("card_no_masked"),
+        _text("5100 **** **** ", F.lpad(draw(i, 13, 10_000).cast("string"), 4, "0")).alias("card_no_masked"),
         i.alias("customer_id"),
         F.when(~credit, i).alias("account_id"),
         F.when(credit, "CC").otherwise("DC").alias("product_code"),
         F.when(credit, "CREDIT").otherwise("DEBIT").alias("card_type"),
-        _pick(i % 4, ["VISA", "MASTER", "JCB", "NAPAS"]).alias("card_brand"),
-        F.when(credit, (i % 90 + 10) * 1_000_000).alias("credit_limit"),
-        _date_plus("2022-01-01", (i * 13) % 365).alias("issue_date"),
-        _date_plus("2026-01-01", (i * 7) % 365).alias("expiry_date"),
-        ladder([(i % 20 == 7, "BLOCKED"), (i % 100 == 99, "CLOSED")], "ACTIVE").alias("status"),
+        _pick(draw(i, 14, 4), ["JCB", "MASTER", "NAPAS", "VISA"]).alias("card_brand"),
+        F.when(credit, (draw(i, 15, 80) + 5) * 1_000_000).alias("credit_limit"),
+        _date_plus("2021-07-01", draw(i, 16, 700)).alias("issue_date"),
+        _date_plus("2026-02-01", draw(i, 17, 900)).alias("expiry_date"),
+        ladder([(draw(i, 18, 20) == 0, "BLOCKED"), (draw(i, 18, 20) == 1, "CLOSED")], "ACTIVE").alias("status"),
         ts_lit(BASE_TS).alias("last_updated"),
     )
     return S.conform(rows, S.CARD)
 
 
 def txn_account(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    when = F.expr(f"l_shipdate + INTERVAL '{SHIFT_DAYS}' DAY + make_dt_interval(0, 0, 0, l_partkey % 86400)")
+    second = draw(F.col("l_partkey"), 29, 86_400).cast("int")
+    when = F.expr(f"l_shipdate + INTERVAL '{SHIFT_DAYS}' DAY") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), second)
     amount = F.col("l_extendedprice").cast("decimal(18,2)")
-    line = F.col("l_linenumber")
     rows = (
         lineitem.join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumn("txn_date", when)
@@ -231,12 +223,13 @@ def txn_account(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
             F.col("l_orderkey").alias("account_id"),
             F.col("o_custkey").alias("customer_id"),
             "txn_date",
-            F.when(line % 3 == 0, -amount).otherwise(amount).alias("txn_amount"),
-            _pick(line % 6, ["DEPOSIT", "WITHDRAWAL", "TRANSFER_IN", "TRANSFER_OUT", "FEE", "INTEREST"]).alias("txn_type"),
-            F.when(line % 2 == 0, "D").otherwise("C").alias("debit_credit"),
+            F.when(F.col("l_returnflag") == "R", -amount).otherwise(amount).alias("txn_amount"),
+            _pick(draw(F.col("l_suppkey") + F.col("l_linenumber"), 28, 6),
+                  ["DEPOSIT", "FEE", "INTEREST", "TRANSFER_IN", "TRANSFER_OUT", "WITHDRAWAL"]).alias("txn_type"),
+            F.when(F.col("l_linestatus") == "F", "D").otherwise("C").alias("debit_credit"),
             (F.col("l_quantity") * 1000).alias("balance_after"),
-            _pick(F.col("l_partkey") % 5, ["BRANCH", "ATM", "INTERNET_BANKING", "MOBILE_BANKING", "POS"]).alias("channel"),
-            _text("TX-", F.col("l_orderkey"), "-", line).alias("description"),
+            _pick(draw(F.col("l_partkey"), 30, 5), ["ATM", "BRANCH", "INTERNET_BANKING", "MOBILE_BANKING", "POS"]).alias("channel"),
+            _text("Order ", F.col("l_orderkey"), " line ", F.col("l_linenumber")).alias("description"),
             F.lit(None).alias("counter_account"),
             F.col("txn_date").alias("created_ts"),
             F.col("txn_date").alias("last_updated"),
@@ -255,10 +248,10 @@ def card_txn(events: DataFrame) -> DataFrame:
         F.col("value").cast("decimal(18,2)").alias("txn_amount"),
         F.when(kind == "click", "CASH_ADVANCE").when(kind == "signup", "REFUND").otherwise("PURCHASE").alias("txn_type"),
         F.lit("VND").alias("currency"),
-        _text("Merchant-", e % 100).alias("merchant_name"),
-        _pick(e % 6, ["GROCERY", "RESTAURANT", "TRAVEL", "ECOM", "FUEL", "EDUCATION"]).alias("merchant_category"),
-        _pick(e % 3, ["POS", "ECOM", "ATM"]).alias("channel"),
-        F.when(kind == "error", "FAILED").when(e % 50 == 0, "PENDING").otherwise("SUCCESS").alias("status"),
+        _text("Shop ", draw(e, 31, 120)).alias("merchant_name"),
+        _pick(draw(e, 32, 6), ["ECOM", "EDUCATION", "FUEL", "GROCERY", "RESTAURANT", "TRAVEL"]).alias("merchant_category"),
+        _pick(draw(e, 33, 3), ["ATM", "ECOM", "POS"]).alias("channel"),
+        F.when(kind == "error", "FAILED").when(draw(e, 34, 40) == 0, "PENDING").otherwise("SUCCESS").alias("status"),
         F.col("ts").alias("created_ts"),
         F.col("ts").alias("last_updated"),
     )
@@ -267,16 +260,17 @@ def card_txn(events: DataFrame) -> DataFrame:
 
 def crm_interaction(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
-    rows = events.where(e % 3 == 0).select(
+    state = draw(e, 37, 200)
+    rows = events.select(
         e.alias("interaction_id"),
         F.col("user_id").alias("customer_id"),
         F.col("ts").alias("interaction_date"),
-        _pick(e % 5, ["CALL", "EMAIL", "CHAT", "BRANCH", "SMS"]).alias("channel"),
-        F.when(e % 2 == 0, "OUTBOUND").otherwise("INBOUND").alias("direction"),
-        _text("Interaction ", e).alias("subject"),
-        _pick(e % 5, ["COMPLAINT", "INQUIRY", "CAMPAIGN", "CROSS_SELL", "RETENTION"]).alias("category"),
-        F.when(e % 100 < 95, "RESOLVED").when(e % 100 < 98, "OPEN").alias("status"),
-        _text("Agent-", e % 50 + 1).alias("assigned_to"),
+        _pick(draw(e, 35, 5), ["BRANCH", "CALL", "CHAT", "EMAIL", "SMS"]).alias("channel"),
+        F.when(draw(e, 36, 2) == 0, "INBOUND").otherwise("OUTBOUND").alias("direction"),
+        _text("About ", F.col("event_type"), " ", e).alias("subject"),
+        _pick(draw(e, 38, 5), ["CAMPAIGN", "COMPLAINT", "CROSS_SELL", "INQUIRY", "RETENTION"]).alias("category"),
+        F.when(state > 1, "RESOLVED").when(state == 1, "OPEN").alias("status"),
+        _text("Desk ", draw(e, 39, 60)).alias("assigned_to"),
         F.col("ts").alias("created_ts"),
         F.col("ts").alias("last_updated"),
     )

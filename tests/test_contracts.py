@@ -10,7 +10,7 @@ from tellerflow import schemas as S
 from tellerflow.functions import columns as C
 from tellerflow.operators import sinks
 from tellerflow.plans import marts
-from tellerflow.sources import files, generate, jdbc
+from tellerflow.sources import files, jdbc
 
 
 def test_declared_shapes(lake):
@@ -97,10 +97,3 @@ def test_branch_summary_with_bootstrap_keeps_early_events(lake):
     wide = marts.branch_monthly_summary(lake.silver(), lake.day, bootstrap=True).agg(F.sum("txn_count")).first()[0]
     orphans = lake.fact("txn_account").where("account_sk IS NULL").count()
     assert wide == lake.fact("txn_account").count() - orphans > strict
-
-
-def test_generator_plan():
-    plan = generate.Plan(10_000, dt.date(2025, 12, 31)).validate()
-    assert (plan.n_vip, plan.n_premium) == (500, 3000)
-    with pytest.raises(ValueError):
-        generate.Plan(0, plan.day).validate()
