@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tellerflow.sources.files import asof_dimension
 
@@ -47,10 +48,10 @@ FACTS = {
 
 def from_the_beginning(versions: DataFrame, key: str) -> DataFrame:
     """Extend each key's first version back in time, so that earlier events find it by the plain range rule."""
-    first = versions.groupBy(key).agg(F.min("effective_from").alias("_first"))
-    return versions.join(first, key).withColumn(
-        "effective_from", F.when(F.col("effective_from") == F.col("_first"), F.lit(FIRST_DAY).cast("date")).otherwise(F.col("effective_from"))
-    ).drop("_first")
+    first = F.min("effective_from").over(Window.partitionBy(key))  # a key has one version per processing date at most
+    return versions.withColumn(
+        "effective_from", F.when(F.col("effective_from") == first, F.lit(FIRST_DAY).cast("date")).otherwise(F.col("effective_from"))
+    )
 
 
 def resolve(

@@ -99,17 +99,36 @@ def open_versions(snapshot: DataFrame, spec: Dimension, day: dt.date) -> DataFra
 # --- guards --------------------------------------------------------------------------------------
 
 
-def source_problems(snapshot: DataFrame, spec: Dimension) -> DataFrame:
+def key_problems(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Business keys that are NULL or occur more than once, with their row counts."""
-    null_key = _any([F.col(k).isNull() for k in spec.keys])
+    null_key = _any([F.col(k).isNull() for k in keys])
     return (
-        snapshot.groupBy(*spec.keys)
+        snapshot.groupBy(*keys)
         .agg(F.count("*").alias("row_count"))
         .withColumn("problem", F.when(null_key, "null_key").when(F.col("row_count") > 1, "duplicate_key"))
         .where(F.col("problem").isNotNull())
     )
 
 
+def source_problems(snapshot: DataFrame, spec: Dimension) -> DataFrame:
+    return key_problems(snapshot, spec.keys)
+
+
+def guard_keys(snapshot: DataFrame, keys: Sequence[str], name: str) -> None:
+    """Raise when a business key is NULL or not unique; five of them are named."""
+    samples = [row.asDict() for row in key_problems(snapshot, keys).limit(5).collect()]
+    if samples:
+        kinds = sorted({s["problem"].replace("_", " business ") for s in samples})
+        raise ValueError(f"{name}: {', '.join(kinds)}, for example {samples}")
+
+
+def guard_columns(stored: Sequence[str], snapshot: Sequence[str], name: str) -> None:
+    """Raise when a snapshot and the stored table differ in their columns: none may be lost, or left empty, silently."""
+    missing, unexpected = sorted(set(stored) - set(snapshot)), sorted(set(snapshot) - set(stored))
+    if missing or unexpected or len(snapshot) != len(set(snapshot)):
+        raise ValueError(f"{name}: source columns differ from the stored table's: missing {missing}, unexpected {unexpected}, all {list(snapshot)}")
+
+
 def guard_source(snapshot: DataFrame, spec: Dimension) -> None:
     """Raise before anything is written when a snapshot cannot become versions."""
     columns = snapshot.columns
@@ -121,15 +140,12 @@ def guard_source(snapshot: DataFrame, spec: Dimension) -> None:
     leaked = sorted(set(columns) & set(spec.metadata))
     if leaked:
         raise ValueError(f"{spec.name}: the source must not provide {leaked}")
-    samples = [row.asDict() for row in source_problems(snapshot, spec).limit(5).collect()]
-    if samples:
-        kinds = sorted({s["problem"].replace("_", " business ") for s in samples})
-        raise ValueError(f"{spec.name}: {', '.join(kinds)}, for example {samples}")
+    guard_keys(snapshot, spec.keys, spec.name)
 
 
 def backdated_rows(history: DataFrame, day: dt.date) -> DataFrame:
-    """How many versions start after the processing date, and the latest start."""
-    return history.agg(
+    """How many versions start after the processing date, and the latest start among versions not over by then."""
+    return history.where(F.col(TO) >= F.lit(day)).agg(
         F.count_if(F.col(FROM) > F.lit(day)).alias("later_versions"), F.max(FROM).alias("latest_effective_from")
     )
 
@@ -202,6 +218,7 @@ def apply_snapshot(history: DataFrame, snapshot: DataFrame, spec: Dimension, day
     joined row yields its old version (kept or closed) and, where needed, the
     new one.
     """
+    guard_columns([c for c in history.columns if c not in spec.metadata], snapshot.columns, spec.name)
     healed = recover(history, spec, day)
     touched, passed = healed.where(F.col(CURRENT) == 1), healed.where(F.col(CURRENT) == 0)
     return passed.unionByName(next_current(touched, snapshot, spec, day, history.columns))
@@ -236,10 +253,21 @@ def next_current(current: DataFrame, snapshot: DataFrame, spec: Dimension, day:
 
 
 def scd1_upsert(target: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Current-state table: snapshot rows win, keys missing from the snapshot stay."""
+    """Current-state table: snapshot rows win, keys missing from the snapshot stay.
+
+    Refuses a snapshot with other columns than the table, or with NULL or repeated keys.
+    """
+    guard_columns(target.columns, snapshot.columns, "current-state table")
+    guard_keys(snapshot, keys, "current-state table")
     return snapshot.select(*target.columns).unionByName(target.join(snapshot.select(*keys), list(keys), "left_anti"))
 
 
+def day_slice(history: DataFrame, day: dt.date) -> DataFrame:
+    """The versions a day can change: open ones, and those an attempt of the same day has closed. Two partitions of a
+    stored history, so everything derived from this slice prunes the older past."""
+    return history.where(F.col(TO).isin(_day_before(day), OPEN_END))
+
+
 # --- checks --------------------------------------------------------------------------------------
 
 

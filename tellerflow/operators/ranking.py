@@ -6,12 +6,11 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 from pyspark.sql.window import Window
 
-from tellerflow.operators.sinks import durable
+from tellerflow.operators.sinks import durable, partitions_for
 
-# Values travel as one decimal type so that several orders share one shuffle.
-RANK_TYPE = "decimal(38,6)"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position below this bit
 
 
@@ -23,35 +22,23 @@ def tile_starts(rows: int, tiles: int) -> list[int | None]:
 
 
 def ntile_cuts(rows: DataFrame, row_id: str, orders: Mapping[str, Column], tiles: int = 5) -> dict[str, list[tuple]]:
-    """First (value, id) of tiles 2..n for each named ascending order.
+    """First (value, id) of tiles 2..n for each named ascending order, NULL first.
 
-    All orders are sorted together in one range-partitioned shuffle of
-    (order, value, id). Positions inside the partitions and the partition sizes
-    give exact global ranks, so only one count per partition and tiles-1 rows
-    per order come to the driver. The unique id keeps equal values apart: a
-    value held by a third of the rows is still split evenly.
+    Each order is sorted in its own type by one range-partitioned shuffle of
+    (value, id). Positions inside the partitions and the partition sizes give
+    exact global ranks, so only one count per partition and tiles-1 rows per
+    order come to the driver. The unique id keeps equal values apart: a value
+    held by a third of the rows is still split evenly.
     """
-    names = list(orders)
-    ranked = rows.select(
-        F.col(row_id).alias("id"),
-        F.explode(
-            F.array(*[F.struct(F.lit(i).alias("o"), orders[n].cast(RANK_TYPE).alias("v")) for i, n in enumerate(names)])
-        ).alias("s"),
-    ).select("s.o", "s.v", "id")
-    placed = in_order(ranked, ["o", "v", "id"])
-    sizes = {r["part"]: r["n"] for r in _sizes(placed).collect()}  # one row per partition
-    per_order, rest = divmod(sum(sizes.values()), len(names))
-    assert rest == 0, "every order ranks the same rows"
-    wanted: dict[int, tuple[str, int]] = {}
-    for i, name in enumerate(names):
-        for tile, start in enumerate(tile_starts(per_order, tiles)):
-            if start is not None:
-                wanted[_position(sizes, i * per_order + start)] = (name, tile)
-    cuts: dict[str, list] = {name: [None] * (tiles - 1) for name in names}
-    if wanted:
-        for row in placed.where(F.col("pos").isin(*wanted)).collect():  # tiles - 1 rows per order
-            name, tile = wanted[row["pos"]]
-            cuts[name][tile] = (row["v"], row["id"])
+    cuts: dict[str, list] = {}
+    for name, order in orders.items():
+        placed = in_order(rows.select(F.col(row_id).alias("id"), order.alias("v")), ["v", "id"])
+        sizes = {r["part"]: r["n"] for r in _sizes(placed).collect()}  # one row per partition
+        starts = tile_starts(sum(sizes.values()), tiles)
+        wanted = {_position(sizes, start): tile for tile, start in enumerate(starts) if start is not None}
+        cuts[name] = [None] * (tiles - 1)
+        for row in placed.where(F.col("pos").isin(*wanted)).collect() if wanted else []:  # tiles - 1 rows
+            cuts[name][wanted[row["pos"]]] = (row["v"], row["id"])
     return cuts
 
 
@@ -61,8 +48,7 @@ def in_order(rows: DataFrame, keys: list[str]) -> DataFrame:
     Written out before use: the sampled range bounds differ between two
     evaluations, the written positions do not. Keys must be unique together.
     """
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    placed = rows.repartitionByRange(partitions_for(rows), *keys).sortWithinPartitions(*keys)
     return durable(placed.withColumn("pos", F.monotonically_increasing_id()), "ordered")
 
 
@@ -89,18 +75,19 @@ def dense_ids(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     return placed.join(offsets, "part").withColumn(name, F.col("offset") + place + 1).drop("part", "pos", "offset")
 
 
-def tile_of(value: Column, row_id: Column, cuts: list[tuple | None]) -> Column:
-    """The tile of a row: one plus the number of cuts at or below it. A narrow expression."""
-    value = value.cast(RANK_TYPE)
+def tile_of(value: Column, row_id: Column, cuts: list[tuple | None], kind: DataType) -> Column:
+    """The tile of a row: one plus the number of cuts at or below it, NULL first. A narrow expression."""
     tile = F.lit(1)
     for cut in cuts:
         if cut is not None:
-            v, i = F.lit(cut[0]).cast(RANK_TYPE), F.lit(cut[1])
-            tile = tile + ((value > v) | ((value == v) & (row_id >= i))).cast("int")
+            v, i = F.lit(cut[0]).cast(kind), F.lit(cut[1])
+            after = value.isNotNull() if cut[0] is None else F.coalesce(value > v, F.lit(False))
+            tile = tile + (after | (value.eqNullSafe(v) & (row_id >= i))).cast("int")
     return tile
 
 
 def ntile(rows: DataFrame, row_id: str, orders: Mapping[str, Column], tiles: int = 5) -> DataFrame:
     """Add one tile column per named order; equal to NTILE(tiles) OVER (ORDER BY value, id)."""
     cuts = ntile_cuts(rows, row_id, orders, tiles)
-    return rows.withColumns({name: tile_of(order, F.col(row_id), cuts[name]) for name, order in orders.items()})
+    kinds = rows.select(*[order.alias(name) for name, order in orders.items()]).schema
+    return rows.withColumns({name: tile_of(order, F.col(row_id), cuts[name], kinds[name].dataType) for name, order in orders.items()})

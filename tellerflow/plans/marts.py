@@ -40,6 +40,7 @@ class Silver:
     fact_crm_interaction: DataFrame
     _shared: dict = field(default_factory=dict, repr=False, compare=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
+    _locks: dict = field(default_factory=dict, repr=False, compare=False)
 
     def activity(self, source: str, day: dt.date) -> DataFrame:
         """Per-customer activity up to a day, aggregated once and written out for every mart of that day.
@@ -51,6 +52,8 @@ class Silver:
             "card": lambda: A.card_activity(self.fact_card_txn, day),
         }[source]
         with self._lock:
+            own = self._locks.setdefault((source, day), threading.Lock())
+        with own:  # other aggregates are built meanwhile
             if (source, day) not in self._shared:
                 self._shared[source, day] = durable(build(), f"activity-{source}")
             return self._shared[source, day]
@@ -186,7 +189,8 @@ def score(base: DataFrame) -> DataFrame:
 
 def ntile_over(rows: DataFrame, subset: Column, orders: dict[str, Column]) -> DataFrame:
     cuts = ntile_cuts(rows.where(subset), KEY, orders)
-    return rows.withColumns({n: tile_of(o, F.col(KEY), cuts[n]) for n, o in orders.items()})
+    kinds = rows.select(*[o.alias(n) for n, o in orders.items()]).schema
+    return rows.withColumns({n: tile_of(o, F.col(KEY), cuts[n], kinds[n].dataType) for n, o in orders.items()})
 
 
 def rfm_segment(s: Silver, day: dt.date) -> DataFrame:
@@ -404,7 +408,7 @@ def branch_monthly_summary(s: Silver, day: dt.date, bootstrap: bool = False) ->
     versions = from_the_beginning(s.dim_account, "account_id") if bootstrap else s.dim_account
     side = versions.select(F.col("account_id").alias("_key"), "branch_code", "effective_from", "effective_to")
     event_day = F.col("txn_date").cast("date")
-    joined = s.fact_txn_account.join(
+    joined = s.fact_txn_account.where(F.col("cob_dt") <= F.lit(day)).join(  # a rebuilt day does not see later events
         side, (F.col("account_id") == F.col("_key")) & event_day.between(F.col("effective_from"), F.col("effective_to"))
     )
     amount, size, kind = F.col("txn_amount"), F.abs("txn_amount"), F.col("debit_credit")

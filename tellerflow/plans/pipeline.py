@@ -41,6 +41,15 @@ class Event:
     error: str | None = None
 
 
+@dataclass(frozen=True)
+class Run:
+    """The ids and the try number that a run's log entries carry."""
+
+    pipeline: str
+    scheduler: str
+    attempt: int
+
+
 @dataclass
 class Pipeline:
     """Where the tables live and where the day's feeds come from.
@@ -70,20 +79,30 @@ class Pipeline:
         return self._open[path]
 
     def save(self, layer: str, table: str, write: Callable[[str], object]) -> None:
-        """Write a table and forget its old file listing."""
+        """Write a table and forget its old file listing, and the frames that marts share if they may hold it."""
         path = self.path(layer, table)
         write(path)
         self._open.pop(path, None)
+        if layer == "silver":
+            with self._lock:
+                self._silver.clear()
 
     # run log
 
-    def log(self, events: list[Event], day: dt.date, run_id: str) -> None:
+    def tries(self, day: dt.date, run_id: str) -> int:
+        """Attempts of a run so far, by its run log."""
+        if not sinks.exists(self.spark, self.path("ops", "run_log")):
+            return 0
+        own = self.read("ops", "run_log").where((F.col("cob_dt") == F.lit(day)) & (F.col("pipeline_run_id") == run_id))
+        return own.agg(F.coalesce(F.max("try_number"), F.lit(0))).first()[0]
+
+    def log(self, events: list[Event], day: dt.date, run: "Run") -> None:
         """Append immutable events; ids grow with time, so the last event of a job is the one with the largest id."""
         now = dt.datetime.now()
         rows = [
             (
                 int(now.timestamp() * 1_000_000) * 1000 + n, e.job, e.layer, e.job, e.status, e.at if e.status == "R" else None,
-                None if e.status == "R" else e.at, day, run_id, run_id, 1, e.error[:ERROR_TEXT] if e.error else None, now,
+                None if e.status == "R" else e.at, day, run.scheduler, run.pipeline, run.attempt, e.error[:ERROR_TEXT] if e.error else None, now,
             )
             for n, e in enumerate(events)
         ]
@@ -99,11 +118,11 @@ class Pipeline:
         except Exception as error:  # noqa: BLE001 - logged, then raised by run()
             return Event(job.name, job.layer, "F", dt.datetime.now(), f"{type(error).__name__}: {error}"), error
 
-    def run_stage(self, pool: ThreadPoolExecutor, stage: list[Job], day: dt.date, run_id: str) -> None:
+    def run_stage(self, pool: ThreadPoolExecutor, stage: list[Job], day: dt.date, run: Run) -> None:
         """Jobs of one stage side by side, between their log events; the first failure stops the pipeline."""
-        self.log([Event(j.name, j.layer, "R", dt.datetime.now()) for j in stage], day, run_id)
+        self.log([Event(j.name, j.layer, "R", dt.datetime.now()) for j in stage], day, run)
         outcomes = list(pool.map(self.attempt, stage))
-        self.log([event for event, _ in outcomes], day, run_id)
+        self.log([event for event, _ in outcomes], day, run)
         for _, failure in outcomes:
             if failure:
                 raise failure
@@ -127,7 +146,7 @@ class Pipeline:
         return self.read("bronze", entity).where(F.col("cob_dt") == F.lit(day)).drop("cob_dt")
 
     def versioned(self, entity: str, day: dt.date) -> None:
-        """Guards, history of the day, two partitions written, history and source compared afterwards."""
+        """Guards, history of the day, two partitions read and written, history and source compared afterwards."""
         spec, table = history.DIMENSIONS[entity].validate(), f"dim_{entity}"
         snapshot = self.bronze(entity, day)
         history.guard_source(snapshot, spec)
@@ -137,12 +156,19 @@ class Pipeline:
         else:
             stored = self.read("silver", table)
             history.guard_backdated(stored, spec, day)
-            after = history.apply_snapshot(stored, snapshot, spec, day)
+            after = history.apply_snapshot(history.day_slice(stored, day), snapshot, spec, day)
             self.save("silver", table, lambda path: sinks.save_history_day(after, path, day, OPEN_END))
-        history.guard_history(self.read("silver", table), spec, snapshot)
+        history.guard_history(history.day_slice(self.read("silver", table), day), spec, snapshot)
+
+    def verify_dimensions(self) -> None:
+        """All history rules over all versions ever; a job of its own, as a day checks only what it can change."""
+        for entity, spec in history.DIMENSIONS.items():
+            history.guard_history(self.read("silver", f"dim_{entity}"), spec)
 
     def current_state(self, entity: str, day: dt.date) -> None:
         table, snapshot = f"dim_{entity}", self.bronze(entity, day)
+        history.guard_keys(snapshot, [SCD1_KEYS[entity]], table)
+        sinks.restore(self.spark, self.path("silver", table))
         if sinks.exists(self.spark, self.path("silver", table)):
             snapshot = history.scd1_upsert(self.read("silver", table), snapshot, [SCD1_KEYS[entity]])
         self.save("silver", table, lambda path: sinks.overwrite_all(snapshot, path))
@@ -208,10 +234,12 @@ class Pipeline:
         self.save("ops", "dq_result", lambda path: sinks.append(stored, path))
         quality.gate(results)
 
-    def run(self, day: dt.date, run_id: str, initial: bool = False) -> None:
+    def run(self, day: dt.date, run_id: str, initial: bool = False, scheduler_run: str | None = None) -> None:
         """All layers of one processing date, in dependency order; stops after the first stage with a failure.
 
-        Jobs of one stage do not depend on each other and are submitted side by side.
+        Jobs of one stage do not depend on each other and are submitted side by
+        side. A run id may be used again to repeat a run: its log entries then
+        carry the next try number. Intermediate tables go when the run ends.
         """
         facts = asof.FACTS
         stages = [
@@ -225,6 +253,10 @@ class Pipeline:
             [Job("masking", "sandbox", lambda: self.mask(day))],
             [Job("data_quality", "ops", lambda: self.check(day, run_id))],
         ]
-        with ThreadPoolExecutor(self.parallel) as pool:
-            for stage in stages:
-                self.run_stage(pool, stage, day, run_id)
+        run = Run(run_id, scheduler_run or run_id, self.tries(day, run_id) + 1)
+        try:
+            with sinks.scratch(self.spark, "run"), ThreadPoolExecutor(self.parallel) as pool:
+                for stage in stages:
+                    self.run_stage(pool, stage, day, run)
+        finally:
+            self._silver.clear()  # its frames may read intermediate tables

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tellerflow import schemas as S
 from tellerflow.functions.columns import OPEN_END
@@ -169,9 +170,9 @@ def aum_reconciles(t: Tables, day: dt.date) -> DataFrame:
         )
     )
     mart = _at(t["mart_customer_360"], day).select("customer_id", "aum_total", "total_loan_outstanding")
-    both = expected.join(mart, "customer_id", "left")
-    differs = (F.col("aum_total") != F.col("aum")) | (F.col("total_loan_outstanding") != F.col("loans"))
-    return _rows(both, differs)
+    both = expected.join(mart, "customer_id", "full_outer")
+    same = (F.col("aum_total") == F.col("aum")) & (F.col("total_loan_outstanding") == F.col("loans"))
+    return _rows(both, ~F.coalesce(same, F.lit(False)))
 
 
 def segments_reachable(t: Tables, day: dt.date) -> DataFrame:
@@ -181,16 +182,20 @@ def segments_reachable(t: Tables, day: dt.date) -> DataFrame:
 
 def no_pii(table: str) -> Callable[[Tables, dt.date], DataFrame]:
     def run(t: Tables, day: dt.date) -> DataFrame:
-        return schema_check(t[table])
+        return pii_check(t[table], t["dim_customer"], day)
 
     return run
 
 
-def schema_check(df: DataFrame, forbidden: tuple[str, ...] = S.PII_COLUMNS) -> DataFrame:
-    """The schema as the answer: only column names are read, one aggregated row carries the counts."""
-    exposed = S.exposed_pii(df, forbidden)
-    return df.limit(0).agg(
-        F.lit(len(exposed)).cast("long").alias("failed_count"), F.lit(len(df.columns)).cast("long").alias("total_count")
+def pii_check(df: DataFrame, customers: DataFrame, day: dt.date) -> DataFrame:
+    """Columns named like personal data, plus rows of which any text is their customer's own name, phone, e-mail or
+    national id as of the day."""
+    texts = [F.col(f.name) for f in df.schema if isinstance(f.dataType, StringType)]
+    raw = F.array_compact(F.array(*[F.col(c) for c in S.PII_VALUES]))
+    own = asof_dimension(customers, day).select("customer_id", raw.alias("_raw"))
+    leaks = F.arrays_overlap(F.array_compact(F.array(*texts)), F.col("_raw"))
+    return df.join(own, "customer_id", "left").agg(
+        (F.count_if(F.coalesce(leaks, F.lit(False))) + len(S.exposed_pii(df))).alias("failed_count"), F.count("*").alias("total_count")
     )
 
 
@@ -253,8 +258,19 @@ def run_check(check: Check, tables: Tables, day: dt.date, pipeline_run_id: str,
     }
 
 
+def validate_list(checks: list[Check]) -> None:
+    """Refuse an empty list, repeated names and incomplete checks before any of them runs."""
+    if not checks:
+        raise ValueError("no checks given")
+    names = [check.validate().name for check in checks]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"checks defined more than once: {', '.join(twice)}")
+
+
 def run_checks(checks: list[Check], tables: Tables, day: dt.date, pipeline_run_id: str, dq_run_id: str) -> list[dict]:
     """Every check on its own, a few submitted at a time; results in check order."""
+    validate_list(checks)
     with ThreadPoolExecutor(4) as pool:
         return list(pool.map(lambda check: run_check(check, tables, day, pipeline_run_id, dq_run_id), checks))
 

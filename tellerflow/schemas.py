@@ -100,6 +100,7 @@ RUN_LOG_TABLE = Table("run_log", RUN_LOG, ("id",))
 DQ_RESULT_TABLE = Table("dq_result", DQ_RESULT, ("dq_run_id", "check_name"))
 
 PII_COLUMNS = ("full_name", "phone", "email", "cccd", "address")
+PII_VALUES = ("full_name", "phone", "email", "cccd")  # what identifies a customer wherever it is shown
 
 
 def assert_schema(df: DataFrame, table: Table) -> DataFrame:
