@@ -35,7 +35,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.workers import map_arrow
 
-REMEMBERED = 400_000  # pieces a worker remembers; more only costs time, as forgotten ones are merged again
+COUNTED, REMEMBERED = 400_000, 120_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
 
 
 def _char_class(wanted: str, last: int) -> str:
@@ -174,7 +174,7 @@ class Vocabulary:
                     raw = piece.encode()
                     n = len(raw) - self.merge(raw)[1]
                     if len(piece) <= 64:
-                        if len(known) >= REMEMBERED:
+                        if len(known) >= COUNTED:
                             known.clear()
                         known[piece] = n
                 total += n

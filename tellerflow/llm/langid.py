@@ -35,6 +35,7 @@ from tellerflow.llm.workers import map_arrow
 PROFILE = 400  # grams per profile
 MAX_LANGUAGES = 2_000  # labels that may be learned; bounds what is collected to MAX_LANGUAGES * PROFILE rows
 UNKNOWN = "und"
+SLICE = 1 << 19  # text bytes in work at once; the arrays made of them take some hundred times as much
 _GAP = 0x20
 
 
@@ -75,7 +76,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang", size: in
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        for batch in (s for b in batches for s in slices(b, "text", 2 << 20)):
+        for batch in (s for b in batches for s in slices(b, "text", SLICE)):
             labels = np.array(batch.column("label").to_pylist(), object)
             texts = np.array(batch.column("text").to_pylist(), object)
             for name in set(labels):
@@ -135,7 +136,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text",
     schema = StructType([*[docs.schema[c] for c in keep], StructField(names[0], StringType()), StructField(names[1], DoubleType())])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, "_text", 2 << 20)):
+        for batch in (s for b in batches for s in slices(b, "_text", SLICE)):
             texts = [t or "" for t in batch.column("_text").to_pylist()]
             row, gram = grams(texts)
             order = np.argsort(row, kind="stable")
