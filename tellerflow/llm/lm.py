@@ -48,7 +48,7 @@ from tellerflow.llm.workers import map_arrow, ship
 from tellerflow.operators.sinks import durable
 
 ORDER, SYMBOLS = 5, 257
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 32 << 20
 _BITS, _TAG = 9, 56
 _WORD = np.int64(1 << 62)  # word keys have this bit, grams are below it
 _END = np.int64((1 << 63) - 1)
@@ -112,7 +112,7 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _unpacked(table: pa.Table) -> Iterator[pa.RecordBatch]:
     for rows in table.column("rows"):
         for batch in pa.ipc.open_stream(rows.as_buffer()):
-            yield from slices(batch, "text", 4 << 20)
+            yield from slices(batch, "text", 1 << 20)  # the arrays made of a slice take some sixty times as much
 
 
 def _asked(table: pa.Table) -> pa.Table:
