@@ -21,6 +21,27 @@ ERROR_TEXT = 4000  # longest error text kept in the run log
 SCD1_KEYS = {"deposit": "deposit_id", "loan": "loan_id", "card": "card_id"}
 SUMMARIES = ("balance_summary", "product_summary", "card_summary", "transaction_summary")
 SEGMENTS = ("rfm_segment", "churn_prediction", "cross_sell_segment")
+STRATEGIES = {"partitions": sinks.overwrite_partitions, "all": sinks.overwrite_all}
+
+
+@dataclass(frozen=True)
+class Gold:
+    """A gold table made by the mart plan of its name, and how it is written."""
+
+    name: str
+    strategy: str = "partitions"
+
+    def validate(self) -> "Gold":
+        if not callable(getattr(marts, self.name, None)):
+            raise ValueError(f"{self.name}: no mart plan of this name")
+        if self.name not in S.TABLES:
+            raise ValueError(f"{self.name}: no declared schema")
+        if self.strategy not in STRATEGIES:
+            raise ValueError(f"{self.name}: unknown write strategy {self.strategy!r}, known are {sorted(STRATEGIES)}")
+        return self
+
+
+GOLD = tuple(Gold(n) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS))
 
 
 @dataclass(frozen=True)
@@ -63,11 +84,18 @@ class Pipeline:
     feed: Callable[[str, dt.date], DataFrame]
     salt: str
     checks: list[quality.Check] = field(default_factory=lambda: list(quality.CHECKS))
+    gold: tuple[Gold, ...] = GOLD
     parallel: int = 8  # jobs of one stage submitted to Spark at the same time
     _lock: threading.Lock = field(default_factory=threading.Lock)
     _open: dict[str, DataFrame] = field(default_factory=dict)
     _silver: dict[str, marts.Silver] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        """A wrong list of jobs or checks fails here, before Spark starts anything."""
+        for job in self.gold:
+            job.validate()
+        quality.validate_list(self.checks)
+
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
@@ -87,6 +115,11 @@ class Pipeline:
             with self._lock:
                 self._silver.clear()
 
+    def store(self, layer: str, table: str, rows: DataFrame, write: Callable[[DataFrame, str], object]) -> None:
+        """Write rows that have the table's declared columns and types."""
+        checked = S.assert_schema(rows, S.TABLES[table])
+        self.save(layer, table, lambda path: write(checked, path))
+
     # run log
 
     def tries(self, day: dt.date, run_id: str) -> int:
@@ -152,12 +185,12 @@ class Pipeline:
         history.guard_source(snapshot, spec)
         if not sinks.exists(self.spark, self.path("silver", table)):
             first = history.open_versions(snapshot, spec, day)
-            self.save("silver", table, lambda path: sinks.save_history(first, path))
+            self.store("silver", table, first, sinks.save_history)
         else:
             stored = self.read("silver", table)
             history.guard_backdated(stored, spec, day)
             after = history.apply_snapshot(history.day_slice(stored, day), snapshot, spec, day)
-            self.save("silver", table, lambda path: sinks.save_history_day(after, path, day, OPEN_END))
+            self.store("silver", table, after, lambda rows, path: sinks.save_history_day(rows, path, day, OPEN_END))
         history.guard_history(history.day_slice(self.read("silver", table), day), spec, snapshot)
 
     def verify_dimensions(self) -> None:
@@ -171,7 +204,7 @@ class Pipeline:
         sinks.restore(self.spark, self.path("silver", table))
         if sinks.exists(self.spark, self.path("silver", table)):
             snapshot = history.scd1_upsert(self.read("silver", table), snapshot, [SCD1_KEYS[entity]])
-        self.save("silver", table, lambda path: sinks.overwrite_all(snapshot, path))
+        self.store("silver", table, snapshot, sinks.overwrite_all)
 
     def fact(self, feed: str, day: dt.date, initial: bool) -> None:
         spec = asof.FACTS[feed].validate()
@@ -183,9 +216,9 @@ class Pipeline:
         rows = sinks.durable(resolved.drop("last_updated"), spec.name)
         asof.guard_fact(rows, spec, None if initial else day)
         if initial:
-            self.save("silver", spec.name, lambda path: sinks.load_partitions(sinks.by_day(rows, spec.key), path))
+            self.store("silver", spec.name, rows, lambda checked, path: sinks.load_partitions(sinks.by_day(checked, spec.key), path))
         else:
-            self.save("silver", spec.name, lambda path: sinks.overwrite_day(rows, path, day))
+            self.store("silver", spec.name, rows, lambda checked, path: sinks.overwrite_day(checked, path, day))
 
     def silver(self) -> marts.Silver:
         dims = [self.read("silver", f"dim_{d}") for d in ("customer", "account", "branch", "deposit", "loan", "card")]
@@ -198,26 +231,25 @@ class Pipeline:
                 self._silver = {run_id: self.silver()}
             return self._silver[run_id]
 
-    def mart(self, name: str, day: dt.date, silver: marts.Silver) -> None:
-        rows = getattr(marts, name)(silver, day)
-        self.save("gold", name, lambda path: sinks.overwrite_partitions(rows, path))
+    def mart(self, job: Gold, day: dt.date, silver: marts.Silver) -> None:
+        self.store("gold", job.name, getattr(marts, job.name)(silver, day), STRATEGIES[job.strategy])
 
     def campaign(self, day: dt.date) -> None:
         inputs = [self.read("gold", n) for n in (*SEGMENTS, "customer_360")]
         rows = marts.campaign_target(*inputs, self.read("silver", "fact_crm_interaction"), day)
-        self.save("gold", "campaign_target", lambda path: sinks.overwrite_partitions(rows, path))
+        self.store("gold", "campaign_target", rows, sinks.overwrite_partitions)
 
     def publish_current(self, day: dt.date) -> None:
         current = serving.current_mart(self.read("gold", "customer_360"), day)
-        self.save("gold", "mart_customer_360", lambda path: sinks.write_checked(current, S.MART_360, path, sinks.overwrite_all))
+        self.store("gold", "mart_customer_360", current, sinks.overwrite_all)
 
     def mask(self, day: dt.date) -> None:
         masked = serving.customer_masked(self.read("silver", "dim_customer"), day, self.salt)
-        self.save("sandbox", "dim_customer_masked", lambda path: sinks.overwrite_all(masked, path))
+        self.store("sandbox", "dim_customer_masked", masked, sinks.overwrite_all)
         mart = serving.mart_masked(self.read("gold", "mart_customer_360"))
-        self.save("sandbox", "mart_customer_360_masked", lambda path: sinks.overwrite_all(mart, path))
+        self.store("sandbox", "mart_customer_360_masked", mart, sinks.overwrite_all)
         rows = serving.dashboard_mart(self.read("gold", "customer_360"), self.read("gold", "campaign_target"), day)
-        self.save("sandbox", "mart_customer_360_dashboard", lambda path: serving.publish_dashboard(rows, path, day))
+        self.store("sandbox", "mart_customer_360_dashboard", rows, lambda checked, path: serving.publish_dashboard(checked, path, day))
 
     def tables(self) -> dict[str, DataFrame]:
         out = {f"dim_{d}": self.read("silver", f"dim_{d}") for d in (*history.DIMENSIONS, *SCD1_KEYS)}
@@ -247,8 +279,7 @@ class Pipeline:
             [Job(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
             + [Job(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
             [Job(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
-            [Job(n, "gold", lambda n=n: self.mart(n, day, self.silver_of(run_id)))
-             for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS)],
+            [Job(g.name, "gold", lambda g=g: self.mart(g, day, self.silver_of(run_id))) for g in self.gold],
             [Job("mart_customer_360", "gold", lambda: self.publish_current(day)), Job("campaign_target", "gold", lambda: self.campaign(day))],
             [Job("masking", "sandbox", lambda: self.mask(day))],
             [Job("data_quality", "ops", lambda: self.check(day, run_id))],

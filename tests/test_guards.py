@@ -126,3 +126,20 @@ def test_a_failed_run_repeated_under_its_id_equals_a_clean_one(spark, tmp_path):
     assert prints(repeated) == prints(clean)
     log = repeated.read("ops", "run_log")
     assert {(r.try_number, r.dag_run_id) for r in log.select("try_number", "dag_run_id").distinct().collect()} == {(1, "day"), (2, "manual-2")}
+
+
+def test_wrong_job_specs_fail_before_spark():
+    from tellerflow.plans.pipeline import GOLD, Gold
+
+    for bad, message in ((Gold("no_such_mart"), "no mart plan"), (Gold("score"), "no declared schema"), (Gold("rfm_segment", "upsert"), "unknown write strategy")):
+        with pytest.raises(ValueError, match=message):
+            Pipeline(None, "nowhere", None, SALT, gold=(*GOLD, bad))
+
+
+def test_every_stored_table_has_its_declared_schema(spark, lake):
+    from tellerflow import schemas as S
+
+    for name, df in lake.tables().items():
+        S.assert_schema(df, S.TABLES["customer_360" if name == "mart_customer_360_history" else name])
+    with pytest.raises(ValueError, match="schema differs"):
+        S.assert_schema(lake.tables()["rfm_segment"].withColumn("frequency", F.col("frequency").cast("int")), S.TABLES["rfm_segment"])
