@@ -35,7 +35,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.workers import map_arrow
 
-COUNTED, REMEMBERED = 400_000, 120_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
+COUNTED, REMEMBERED = 400_000, 300_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
 
 
 def _char_class(wanted: str, last: int) -> str:
@@ -110,7 +110,7 @@ class Vocabulary:
         self.cut = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.short, self.wide = piece_pattern(0xFFFF), piece_pattern(sys.maxunicode)
         self.lengths: dict[str, int] = {}
-        self.encoded: dict[str, tuple[int, str, str]] = {}
+        self.encoded: dict[str, str] = {}  # ids of pieces that decode to themselves
         self.lookahead = self._lookahead()
         self.machine, self.reader = Transducer(self), TextReader()
 
@@ -192,8 +192,8 @@ class Vocabulary:
         """
         return sum(self.left_bytes)
 
-    def encode_piece(self, piece: str) -> tuple[int, str, str]:
-        """(tokens, ids joined by commas, text decoded from those ids) of one piece, streamed through the transducer."""
+    def encode_piece(self, piece: str) -> tuple[str, str]:
+        """(ids joined by commas, text decoded from those ids) of one piece, streamed through the transducer."""
         machine, reader, raw = self.machine, self.reader, piece.encode()
         tokens = []
         for at in range(0, len(raw), machine.step):
@@ -203,12 +203,12 @@ class Vocabulary:
         if None in parts:  # a token ends within a character
             parts = [*(reader.feed(self.bytes[t]) for t in tokens), reader.finish()]
         back = "".join(parts)
-        got = len(tokens), ",".join(map(str, tokens)), piece if back == piece else back
-        if len(piece) <= 64:
+        ids = ",".join(map(str, tokens))
+        if len(piece) <= 64 and back == piece:
             if len(self.encoded) >= REMEMBERED:
                 self.encoded.clear()
-            self.encoded[piece] = got
-        return got
+            self.encoded[piece] = ids
+        return ids, back
 
 
 class Transducer:
@@ -313,18 +313,18 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str
     shared, digest = _shared(docs, vocabulary)
 
     def one(known: Vocabulary, content: str) -> tuple[int, str, str]:
-        ids, back, n = [], [], 0
+        ids, back = [], []
         for special, pieces in known.pieces(content):
             for piece in pieces:
-                got = known.encoded.get(piece) or known.encode_piece(piece)
-                n += got[0]
-                ids.append(got[1])
-                back.append(got[2])
+                own = known.encoded.get(piece)
+                own, decoded = (own, piece) if own else known.encode_piece(piece)
+                ids.append(own)
+                back.append(decoded)
             if special is not None:
-                n += 1
                 ids.append(str(special))
                 back.append(known.bytes[special].decode())
         joined, decoded = ",".join(ids), "".join(back)
+        n = joined.count(",") + 1 if joined else 0
         if digests:
             joined, decoded = (hashlib.sha256(x.encode()).hexdigest() for x in (joined, decoded))
         return n, joined, decoded
