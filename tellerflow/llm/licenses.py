@@ -6,15 +6,14 @@ shingle of all of them. A document holds a notice if a window of as many shingle
 as the notice has contains at least ``percent`` per hundred of its distinct
 shingles.
 
-Retrieval: a notice of s shingles is indexed by windows of c shingles, the power
-of two between s/4 and s/2 (one at least), at every place; documents are probed
-by overlapping windows of c shingles at a stride of c/2. A window's MinHash has
-four values, the least and the greatest of two hashes of its shingles (the
-greatest is the least in reverse order, so all four are min-wise), each a band of
-its own. Windows with a similarity of 0.8 share a band with probability
-1 - 0.2**4 > 0.998, equal windows always; as c <= s/2, a notice covers several
-windows. A shared band proposes a place, where the containment is then counted
-exactly.
+Retrieval: a notice of s shingles is indexed by its windows of c shingles, the
+power of two between s/4 and s/2 (one at least), and documents are probed by all
+their windows of c shingles. A window's MinHash has two values, the least and the
+greatest hash of its shingles (the greatest is the least in reverse order, so
+both are min-wise), each a band of its own. Windows with a similarity of 0.8
+share a band with probability 1 - 0.2**2 = 0.96, equal windows always; as c <= s/2,
+a notice has s/2 overlapping windows or more, of which most miss nothing. A
+shared band proposes a place, where the containment is then counted exactly.
 
 The index is as large as the notices, and is written as a table before the join,
 so that Spark sees its size and broadcasts it only below its own threshold.
@@ -47,36 +46,51 @@ NOTICES = {
 
 
 def _words(text):
-    return F.filter(F.split(F.lower(text), BREAK), lambda w: w != "")
-
-
-def _shingles(words: str, k: int):
-    """Hashes of all k-word shingles of a word array."""
-    hashes = F.transform(words, lambda w: F.xxhash64(w))
-
-    def shingle(h):
-        each = F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), lambda i: F.xxhash64(*[F.element_at(h, i + j) for j in range(k)]))
-        return F.when(F.size(h) >= k, each).otherwise(F.array().cast("array<bigint>"))
+    """The text's words; breaks at its ends leave empty ones there, which are cut off."""
+    def inner(w):
+        head, tail = (F.element_at(w, 1) == "").cast("int"), (F.element_at(w, -1) == "").cast("int")
+        return F.slice(w, 1 + head, F.greatest(F.size(w) - head - tail, F.lit(0)))
 
     # A lambda's argument is evaluated once, where a repeated column would be evaluated again at each use.
-    return F.element_at(F.transform(F.array(hashes), shingle), 1)
-
-
-def _bands(shingles: str, c: int, stride: int):
-    """Four values per window of c shingles, window after window."""
-    again = F.transform(F.col(shingles), lambda x: F.xxhash64(x, F.lit(1)))
-
-    def window(h, g):
-        last = F.size(h) - c + 1
-        starts = F.sequence(F.lit(1), last, F.lit(stride))
-
-        def four(i):
-            a, b = F.slice(h, i, c), F.slice(g, i, c)
-            return F.array(F.array_min(a), F.array_max(a), F.array_min(b), F.array_max(b))
-
-        return F.when(last >= 1, F.flatten(F.transform(starts, four))).otherwise(F.array().cast("array<bigint>"))
-
-    return F.element_at(F.transform(F.array(F.struct(F.col(shingles).alias("h"), again.alias("g"))), lambda x: window(x["h"], x["g"])), 1)
+    return F.element_at(F.transform(F.array(F.split(F.lower(text), BREAK)), inner), 1)
+
+
+def _pairwise(a: str, b: str, offset: int, f):
+    """f(a[i], b[i + offset]) for all i that have both."""
+    other = F.slice(b, offset + 1, F.greatest(F.size(b) - offset, F.lit(0)))
+    return F.zip_with(F.slice(a, 1, F.size(other)), other, lambda x, y: f(x, y))
+
+
+def _shingled(rows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Columns s1 to s5, the hashes of all shingles of so many words: longer ones are hashes of two shorter ones."""
+    rows = rows.withColumn("s1", F.transform("words", lambda w: F.xxhash64(w)))
+    for k, (a, b) in {2: ("s1", "s1"), 3: ("s2", "s1"), 4: ("s2", "s2"), 5: ("s2", "s3")}.items():
+        if k in lengths or (k == 2 and max(lengths) > 1) or (k == 3 and 5 in lengths):
+            rows = rows.withColumn(f"s{k}", _pairwise(a, b, int(a[1]), F.xxhash64))
+    return rows
+
+
+def _keys(rows: DataFrame, classes: list[tuple[int, int]], *keep: str) -> DataFrame:
+    """(keep, class, window, key) for every band of every window of the rows' shingle arrays."""
+    entries = []
+    for k in sorted({k for k, _ in classes}):
+        low = high = f"s{k}"
+        width, widest = 1, max(c for j, c in classes if j == k)
+        while True:
+            if (k, width) in classes:
+                number = classes.index((k, width))
+                entries.append(F.struct(F.lit(number).alias("class"), F.lit(0).alias("band"), F.col(low).alias("v")))
+                if width > 1:  # a window of one shingle has one value
+                    entries.append(F.struct(F.lit(number).alias("class"), F.lit(1).alias("band"), F.col(high).alias("v")))
+            if width >= widest:
+                break
+            # Windows twice as wide are two neighbouring ones.
+            rows = rows.withColumn(f"low{k}_{2 * width}", _pairwise(low, low, width, F.least))
+            rows = rows.withColumn(f"high{k}_{2 * width}", _pairwise(high, high, width, F.greatest))
+            width *= 2
+            low, high = f"low{k}_{width}", f"high{k}_{width}"
+    rows = rows.select(*keep, F.explode(F.array(*entries)).alias("a")).select(*keep, "a.class", "a.band", F.posexplode("a.v").alias("window", "value"))
+    return rows.select(*keep, "class", "window", F.xxhash64("value", F.col("class") * 2 + F.col("band")).alias("key"))
 
 
 def _classes(notices: DataFrame) -> list[tuple[int, int]]:
@@ -84,21 +98,12 @@ def _classes(notices: DataFrame) -> list[tuple[int, int]]:
     return sorted((r.k, r.c) for r in notices.select("k", "c").distinct().collect())
 
 
-def _keys(rows: DataFrame, classes: list[tuple[int, int]], stride, *keep: str) -> DataFrame:
-    """(keep, class, window, key) for every band of every window of the rows' shingle arrays s1, s2, ..."""
-    arrays = [F.struct(F.lit(n).alias("class"), F.lit(stride(c)).alias("stride"), _bands(f"s{k}", c, stride(c)).alias("v")) for n, (k, c) in enumerate(classes)]
-    rows = rows.select(*keep, F.explode(F.array(*arrays)).alias("a")).select(*keep, "a.class", "a.stride", F.posexplode("a.v").alias("i", "value"))
-    window = F.floor(F.col("i") / 4).cast("int") * F.col("stride")
-    return rows.select(*keep, "class", window.alias("window"), F.xxhash64("value", F.col("class") * 4 + F.col("i") % 4).alias("key"))
-
-
 def prepared(notices: DataFrame, text: str = "text", name: str = "license") -> DataFrame:
     """(license, words, k, n, c, shingles) of the notices that have words."""
     rows = notices.select(F.col(f"`{name}`").alias("license"), _words(F.col(f"`{text}`").cast("string")).alias("words")).where(F.size("words") > 0)
     rows = rows.withColumn("k", F.least(F.size("words"), F.lit(SHINGLE)))
     by_length = F.expr("case k " + " ".join(f"when {k} then s{k}" for k in range(1, SHINGLE + 1)) + " end")
-    for k in range(1, SHINGLE + 1):
-        rows = rows.withColumn(f"s{k}", _shingles("words", k))
+    rows = _shingled(rows, list(range(1, SHINGLE + 1)))
     rows = rows.withColumn("n", F.size("words") - F.col("k") + 1)
     c = F.pow(F.lit(2), F.floor(F.log2(F.greatest(F.col("n") / 2, F.lit(1))))).cast("int")
     return rows.withColumn("shingles", F.array_distinct(by_length)).withColumn("c", c)
@@ -118,14 +123,13 @@ def found(docs: DataFrame, notices: DataFrame, text: str = "text", doc_id: str =
     number = F.lit(-1)
     for n, (k, c) in enumerate(classes):
         number = F.when((F.col("k") == k) & (F.col("c") == c), n).otherwise(number)
-    index = _keys(known.withColumn("own", number), classes, lambda c: 1, "license", "own").where("class = own")
+    index = _keys(known.withColumn("own", number), classes, "license", "own").where("class = own")
     index = durable(index.select("license", F.col("window").alias("offset"), "key").distinct(), "notice-index")
 
     def shingled(r: DataFrame, *keep: str) -> DataFrame:
-        r = r.select(*keep, _words(F.col("text")).alias("words"))
-        return r.select(*keep, *[_shingles("words", k).alias(f"s{k}") for k in lengths])
+        return _shingled(r.select(*keep, _words(F.col("text")).alias("words")), lengths)
 
-    probes = _keys(shingled(rows, "doc_id", "text_hash"), classes, lambda c: max(1, c // 2), "doc_id", "text_hash")
+    probes = _keys(shingled(rows, "doc_id", "text_hash"), classes, "doc_id", "text_hash")
     places = probes.join(index, "key").select("doc_id", "text_hash", "license", (F.col("window") - F.col("offset")).alias("at")).distinct()
     places = places.join(known.select("license", "k", "n", F.col("shingles").alias("wanted")), "license")
     places = durable(places.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("license", "at", "k", "n", "wanted")).alias("places")), "notice-places")
