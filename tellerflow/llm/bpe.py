@@ -35,7 +35,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.workers import map_arrow
 
-COUNTED, REMEMBERED = 400_000, 300_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
+COUNTED, REMEMBERED = 400_000, 400_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
 
 
 def _char_class(wanted: str, last: int) -> str:
