@@ -4,7 +4,7 @@ Stages keep the columns of ``documents``; the last adds the encoding:
 
 1. language: a document is rejected if no language fits it: it has no letter, or
    its score is below ``LEAST_SCORE``.
-2. lines: recurring lines leave the texts, and n_chars follows; a document of
+2. lines: lines that recur in distinct texts or contexts leave the texts, and n_chars follows; a document of
    which nothing but white space is left, though there was more, goes.
 3. near duplicates: one document of each group stays, the one with the smallest
    doc_id. Of repeated rows under that id all stay, as they are one document.
@@ -37,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = drop_lines(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
+    left = drop_lines(docs, documents=True).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(*docs.columns)
 

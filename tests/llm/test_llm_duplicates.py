@@ -102,6 +102,19 @@ def test_lines_equal_sql_on_hard_cases(spark):
     assert sorted((str(r.text), r.n_lines, r.n_dropped) for r in bare) == [("None", 0, 0), ("a b c d e", 1, 0)]
 
 
+def test_every_line_of_a_block_recurs_by_its_documents(spark):
+    block = ["all content on this site is provided as is", "see our terms of use for the details", "copyright by the owners of this site"]
+    head = ["welcome to the pages of our site", "please read the following text with care"]
+    rows = [(i, "\n".join([*head, *(" ".join(noise(12)) for _ in range(3)), *block])) for i in range(12)]
+    rows += [(100 + i, "\n".join(["only one document says this line twelve times", " ".join(noise(12))])) for i in range(3)]
+    rows += [(200 + i, "\n".join(" ".join(w) for w in [VOCABULARY[:8], VOCABULARY[8:16], VOCABULARY[16:24]])) for i in range(20)]  # equal texts are one
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.template for r in lines.recurring(docs, documents=True).collect()} == {*block, *head}
+    left = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.lines(spark, docs.withColumn("n_chars", F.length("text").cast("long")), "").collect()}
+    text = dict(rows)
+    assert all(left[i] == text[i].split("\n")[2:5] for i in range(1, 12)) and all("\n".join(left[i]) == text[i] for i in left if not 0 < i < 12)
+
+
 def test_licenses_equal_sql_on_hard_cases(spark):
     notice = licenses.NOTICES["GPL-3.0"]
     rows = [(1, None), (2, ""), (3, "!!"), (4, "All rights"), (5, "ALL RIGHTS RESERVED"), (6, f"x. {notice}!"), (7, notice.replace("version 3", "version 2")),
