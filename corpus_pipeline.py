@@ -37,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = drop_lines(docs, documents=True).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
+    left = drop_lines(docs, tokens=1, documents=True).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(*docs.columns)
 

@@ -115,6 +115,14 @@ def test_every_line_of_a_block_recurs_by_its_documents(spark):
     assert all(left[i] == text[i].split("\n")[2:5] for i in range(1, 12)) and all("\n".join(left[i]) == text[i] for i in left if not 0 < i < 12)
 
 
+def test_short_lines_recur_as_fixed_templates(spark):
+    rows = [(i, "\n".join([" ".join(noise(12)), "All rights reserved.", "", " ".join(noise(12)), "Top", f"tag {VOCABULARY[i]}", " \t", "Page %d" % i, " ".join(noise(12))])) for i in range(15)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    left = {r.doc_id: r.text.split("\n") for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    text = dict(rows)
+    assert all(left[i] == [line for k, line in enumerate(text[i].split("\n")) if k not in (1, 4, 7)] for i in range(1, 15)) and "\n".join(left[0]) == text[0]
+
+
 def test_licenses_equal_sql_on_hard_cases(spark):
     notice = licenses.NOTICES["GPL-3.0"]
     rows = [(1, None), (2, ""), (3, "!!"), (4, "All rights"), (5, "ALL RIGHTS RESERVED"), (6, f"x. {notice}!"), (7, notice.replace("version 3", "version 2")),
