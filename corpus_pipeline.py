@@ -6,7 +6,7 @@ Stages keep the columns of ``documents``; the last adds the encoding:
    its score is below ``LEAST_SCORE``.
 2. lines: lines that recur in distinct texts or contexts leave the texts, and n_chars follows; a document of
    which nothing but white space is left, though there was more, goes.
-3. near duplicates: one document of each group stays, the one with the smallest
+3. near duplicates, at a similarity of 0.85: one document of each group stays, the one with the smallest
    doc_id. Of repeated rows under that id all stay, as they are one document.
 4. decontamination: documents that hold a benchmark item go.
 5. encoding: n_tokens, and the SHA-256 of the ids and of the text decoded from them.
@@ -29,6 +29,7 @@ from tellerflow.llm.neardup import near_duplicates
 from tellerflow.session import shared_dir
 
 LEAST_SCORE = 0.2
+NEAR_PERCENT = 85  # of five-word shingles, as the stage's test has it
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +45,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Ids that stay; rows with a NULL id stay when nothing in their group has one.
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(docs, percent=NEAR_PERCENT).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
 
 

@@ -8,7 +8,8 @@ many rounds have passed as there are coordinates, round j feeds coordinate
 j - COORDINATES only, so every coordinate fills. Two sets agree on a coordinate
 with a probability equal to their similarity s, with concentration as if the
 coordinates were independent. BANDS bands of ROWS coordinates are bucket keys:
-at s = 0.85 two sets share none with probability (1 - 0.85**5)**25 < 5e-7.
+at s = 0.85 two sets share none with probability (1 - 0.85**5)**25 < 5e-7, at
+s = 0.8 with (1 - 0.8**5)**25 < 5e-5.
 
 Links come from full sets, never from sketches:
 
@@ -137,7 +138,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("u", "v", shared.alias("shared"), (F.size("su") + F.size("sv") - shared).alias("total"))
 
 
-def _within_stars(stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _within_stars(stars: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that join different components of one star, found by comparing all its members block by block."""
     label = F.coalesce("label", "node").alias("label")
     rows = stars.join(labels, "node", "left").select("pivot", "node", "n", label)
@@ -156,10 +157,10 @@ def _within_stars(stars: DataFrame, labels: DataFrame, sets: DataFrame) -> DataF
         F.xxhash64("pivot", F.least("i", "j"), F.greatest("i", "j")))
     part = F.when(F.col("blocks") == 1, 0).otherwise(F.least("i", "j") * (1 << 16) + F.greatest("i", "j"))
     dealt = dealt.select(cell.alias("cell"), part.alias("part"), "pivot", "node", "label").join(sets, "node")
-    return dealt.groupBy("cell").applyInArrow(_joining_links, "u binary, v binary")
+    return dealt.groupBy("cell").applyInArrow(lambda cell: _joining_links(cell, percent), "u binary, v binary")
 
 
-def _joining_links(cell: pa.Table) -> pa.Table:
+def _joining_links(cell: pa.Table, percent: int) -> pa.Table:
     """Links that join the components of each star in a cell, no more than its members."""
     groups: dict[tuple, list[int]] = {}
     for i, key in enumerate(zip(cell.column("pivot").to_pylist(), cell.column("part").to_pylist())):
@@ -174,7 +175,7 @@ def _joining_links(cell: pa.Table) -> pa.Table:
         own = [values[at[r] : at[r + 1]] for r in rows]
         size = np.array([len(o) for o in own])
         shared = _shared_counts(own)
-        linked = shared * 100 >= (size[:, None] + size[None, :] - shared) * PERCENT
+        linked = shared * 100 >= (size[:, None] + size[None, :] - shared) * percent
         parent = {labels[r]: labels[r] for r in rows}
 
         def top(x: bytes) -> bytes:
@@ -208,8 +209,10 @@ def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row; copies linked through any chain share a component."""
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row; copies linked through any chain share a component.
+
+    Two documents are linked if they share at least ``percent`` per hundred of their shingles' union."""
     ship(docs.sparkSession)
     content = F.col(f"`{text}`").cast("string")
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(content).alias("text_hash"), content.alias("text"))
@@ -234,9 +237,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     sets = durable(_sets(texts.select("node", "text")).dropDuplicates(["node"]), "shingle-sets")
 
     first = _verified(stars.select(F.col("pivot").alias("u"), F.col("node").alias("v")), sets)
-    links = durable(first.where(F.col("shared") * 100 >= F.col("total") * PERCENT).select("u", "v"), "pivot-links")
+    links = durable(first.where(F.col("shared") * 100 >= F.col("total") * percent).select("u", "v"), "pivot-links")
     labels = components(links)
-    labels = components(links.union(_within_stars(stars, labels, sets)))
+    labels = components(links.union(_within_stars(stars, labels, sets, percent)))
 
     ids = classes.select("node", "least_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = ids.groupBy("label").agg(F.min("least_id").alias("component_id"))

@@ -73,6 +73,21 @@ def test_blocks_of_a_large_star_find_every_joining_link(spark, monkeypatch):
     assert differences(neardup.near_duplicates(docs), con, ORACLES["op5_near_duplicates"]) is None
 
 
+def test_near_duplicates_at_eighty_per_hundred(spark, monkeypatch):
+    base = noise(100)  # 96 shingles; a changed word costs up to 5, so two copies share 86 / 106 = 0.81 and four 0.66
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:30], "qqq", *base[31:60], "rrr", *base[61:]])),
+            (3, " ".join(base[:20] + ["q1"] + base[21:40] + ["q2"] + base[41:60] + ["q3"] + base[61:80] + ["q4"] + base[81:]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in neardup.near_duplicates(docs).where("kept").collect()} == {1, 2, 3}
+    assert {r.doc_id for r in neardup.near_duplicates(docs, percent=80).where("kept").collect()} == {1, 3}
+    # The blockwise comparison of stars goes by the same figure.
+    monkeypatch.setattr(neardup, "BLOCK_MEMBERS", 16)
+    many = [(i, " ".join(changed(base, rng.choice([1, 1, 2])))) for i in range(60)]
+    con = connected(None, many, "doc_id bigint, text varchar")
+    got = neardup.near_duplicates(spark.createDataFrame(many, "doc_id long, text string"), percent=80)
+    assert differences(got, con, ORACLES["op5_near_duplicates"].replace("100 * count(*) >= 85", "100 * count(*) >= 80")) is None
+
+
 def test_near_duplicates_without_ids(spark):
     text = " ".join(noise(50))
     got = neardup.near_duplicates(spark.createDataFrame([(None, text), (9, text), (9, text), (None, "alone here"), (None, None)], "doc_id long, text string"))
