@@ -204,6 +204,18 @@ def test_repeated_passages(spark):
     assert substrings.passages(docs.limit(0)).count() == 0
 
 
+def test_passages_that_stand_twice_in_a_text(spark):
+    notice, own = noise(60), noise(60)
+    head_and_foot = [*notice, *noise(300), *notice]
+    rows = [(1, head_and_foot), (2, [*noise(100), *notice]), (3, [*noise(50), *own, *noise(200), *own]), (4, noise(300)), (5, ["same"] * 400)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    spans = defaultdict(set)
+    for r in substrings.passages(docs).collect():
+        spans[r.doc_id].add((r.start_word, r.end_word, r.partner_id))
+    assert {(a, b) for a, b, _ in spans[1]} >= {(0, 60), (360, 420)} and (100, 160) in {(a, b) for a, b, _ in spans[2]}
+    assert spans[3] == {(50, 110, 3), (310, 370, 3)} and 4 not in spans
+
+
 @pytest.fixture(scope="module")
 def small(spark, tmp_path_factory):
     """A folder with the stages' tables: the given ones, and rows that are hard to bear."""
