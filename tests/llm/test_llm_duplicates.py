@@ -216,6 +216,17 @@ def test_passages_that_stand_twice_in_a_text(spark):
     assert spans[3] == {(50, 110, 3), (310, 370, 3)} and 4 not in spans
 
 
+def test_passages_of_sentences_that_stand_elsewhere_one_by_one(spark):
+    rows = []
+    for k in range(10):
+        sentences = [noise(20) for _ in range(3)]
+        rows += [(1000 * k + i, [*noise(30), *sentences[0], *sentences[1], *sentences[2], *noise(30)]) for i in range(2)]
+        rows += [(1000 * k + 10 + 3 * i + j, [*noise(30), *s, *noise(30)]) for i in range(20) for j, s in enumerate(sentences)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    spans = {(r.doc_id, r.start_word, r.end_word, r.partner_id) for r in substrings.passages(docs).collect()}
+    assert spans == {(1000 * k + i, 30, 90, 1000 * k + 1 - i) for k in range(10) for i in range(2)}
+
+
 @pytest.fixture(scope="module")
 def small(spark, tmp_path_factory):
     """A folder with the stages' tables: the given ones, and rows that are hard to bear."""
