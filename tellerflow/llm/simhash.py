@@ -46,7 +46,7 @@ from tellerflow.llm.components import components
 from tellerflow.llm.registry import documents, query
 from tellerflow.llm.text import LOWER, SPACE, column_bytes, slices, words
 from tellerflow.llm.workers import map_arrow
-from tellerflow.operators.sinks import durable
+from tellerflow.operators.sinks import durable, partitions_for
 
 WORDS, SEED, DISTANCE = 3, 42, 3
 BITS = 64
@@ -55,6 +55,7 @@ WIDTH = BITS // SEGMENTS
 MEMBERS = 32
 _KINDS = WIDTH + 1  # signatures of a segment: one for each wildcard bit, and the whole
 _AT_ONCE = 1 << 17  # shingles whose bits are counted at once
+_DEALT_BYTES = 1 << 20  # of classes whose signatures one task makes
 
 
 def _shingle_spans(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -177,7 +178,9 @@ def _large_links(large: DataFrame, small_links: DataFrame) -> DataFrame:
 
 def _links(classes: DataFrame) -> DataFrame:
     """Links (u, v) between different fingerprints that give the components of all pairs at DISTANCE or less."""
-    signed = classes.select("fp", F.inline(_signatures(F.col("fp"))))
+    # A class becomes many signatures, so its few bytes are dealt to more tasks first.
+    dealt = classes.repartition(partitions_for(classes, _DEALT_BYTES), "fp")
+    signed = dealt.select("fp", F.inline(_signatures(F.col("fp"))))
     met = signed.groupBy("key").agg(F.count("*").alias("n"), F.sum("bit").alias("ones"), F.min("fp").alias("u"), F.max("fp").alias("v"))
     met = met.where((F.col("n") > 1) & (_whole(F.col("key")) | ((F.col("ones") > 0) & (F.col("ones") < F.col("n")))))
     met = durable(met, "simhash-signatures")
