@@ -8,12 +8,15 @@ tables. The first build of each table is a normal Spark job.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tellerflow.operators import asof, history, sinks
+from tellerflow.functions.columns import in_window
+from tellerflow.operators import activity, asof, history, rolling, sinks
 from tellerflow.plans import marts, serving
 from tellerflow.session import shared_dir
 from tellerflow.sources import bank
@@ -34,6 +37,7 @@ class Lake:
         self.spark, self.folder, self.deletes = spark, folder.rstrip("/"), deletes
         self.root = f"{shared_dir(spark)}/lake-{uuid.uuid4().hex[:12]}"
         self._stored: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()  # a build may ask for other tables
         self._silver: marts.Silver | None = None
 
     # given tables and feeds
@@ -60,11 +64,12 @@ class Lake:
     # stored tables
 
     def stored(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
-        if name not in self._stored:
-            rows, path = build(), f"{self.root}/{name}"
-            (rows.write.partitionBy(partition) if partition else rows.write).parquet(path)
-            self._stored[name] = self.spark.read.schema(rows.schema).parquet(path)
-        return self._stored[name]
+        with self._lock:
+            if name not in self._stored:
+                rows, path = build(), f"{self.root}/{name}"
+                (rows.write.partitionBy(partition) if partition else rows.write).parquet(path)
+                self._stored[name] = self.spark.read.schema(rows.schema).parquet(path)
+            return self._stored[name]
 
     def baseline(self, entity: str) -> DataFrame:
         return history.open_versions(self.snapshot(entity, self.base), history.DIMENSIONS[entity], self.base)
@@ -105,13 +110,30 @@ class Lake:
         spec = asof.FACTS[feed]
         return self.stored(spec.name, lambda: sinks.by_day(self.fact_initial(feed).unionByName(self.fact_daily(feed)), spec.key))
 
+    def activity_partials(self, source: str) -> DataFrame:
+        """Per day and key, the days that any window of the two processing dates holds."""
+        src = activity.SOURCES[source]
+        back = src.spec().longest + (self.day - self.base).days
+        recent = lambda: self.fact(src.fact).where(in_window(F.col("cob_dt"), self.day, back))
+        return self.stored(f"activity_{source}_daily", lambda: src.partials(recent()))
+
+    def activity_state(self, source: str, day: dt.date) -> DataFrame | None:
+        """The first day's windows are added up once; the second day moves them on."""
+        spec, parts = activity.SOURCES[source].spec(), self.activity_partials(source)
+        if day == self.base:
+            return self.stored(f"activity_{source}_base", lambda: rolling.state_of(parts, spec, day))
+        if day == self.day:
+            before = self.activity_state(source, self.base)
+            return self.stored(f"activity_{source}_day", lambda: rolling.advance(before, parts, spec, self.base, day))
+        return None
+
     def silver(self) -> marts.Silver:
         """One set of frames, so that all marts of a day share the activity aggregates."""
         if self._silver is None:
             self._silver = marts.Silver(
                 self.dim("customer"), self.dim("account"), self.dim("branch"), self.dim_current("deposit"),
                 self.dim_current("loan"), self.dim_current("card"), self.fact("txn_account"), self.fact("card_txn"),
-                self.fact("crm_interaction"),
+                self.fact("crm_interaction"), states=self.activity_state,
             )
         return self._silver
 

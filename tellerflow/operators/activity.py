@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tellerflow.functions.columns import in_window
+from tellerflow.operators import rolling
+from tellerflow.operators.rolling import Measure, Rolling
 
 LOOKBACK = 365
 WINDOWS = (30, 90, 365)
@@ -46,13 +50,17 @@ def account_activity(fact: DataFrame, day: dt.date) -> DataFrame:
         F.sum(F.when(month & (kind == "D"), size)).alias("debit_amt"),
     ]
     by_channel = _recent(fact, day, LOOKBACK).groupBy("customer_id", "channel").agg(*measures)
-    totals = [
-        (F.max if name.startswith("last_") else F.sum)(name).alias(name)
-        for name in by_channel.columns
-        if name not in ("customer_id", "channel")
-    ]
+    return _account_totals(by_channel)
+
+
+def _totals(rows: DataFrame, part: str) -> list[Column]:
+    names = [c for c in rows.columns if c not in ("customer_id", part)]
+    return [(F.max if name.startswith("last_") else F.sum)(name).alias(name) for name in names]
+
+
+def _account_totals(by_channel: DataFrame) -> DataFrame:
     used = F.when(F.col("cnt_30") > 0, F.struct(-F.col("cnt_30"), F.col("channel")))
-    return by_channel.groupBy("customer_id").agg(*totals, F.min_by("channel", used).alias("primary_channel"))
+    return by_channel.groupBy("customer_id").agg(*_totals(by_channel, "channel"), F.min_by("channel", used).alias("primary_channel"))
 
 
 def spend_rows(card_fact: DataFrame) -> DataFrame:
@@ -72,13 +80,68 @@ def card_activity(fact: DataFrame, day: dt.date) -> DataFrame:
             F.max(F.when(inside, F.col("txn_date"))).alias(f"last_{days}"),
         ]
     by_category = rows.groupBy("customer_id", "merchant_category").agg(*measures)
-    totals = [
-        (F.max if name.startswith("last_") else F.sum)(name).alias(name)
-        for name in by_category.columns
-        if name not in ("customer_id", "merchant_category")
-    ]
+    return _card_totals(by_category)
+
+
+def _card_totals(by_category: DataFrame) -> DataFrame:
     seen = (F.col("cnt_30") > 0) & F.col("merchant_category").isNotNull()
-    return by_category.groupBy("customer_id").agg(*totals, F.count_if(seen).alias("categories_30"))
+    return by_category.groupBy("customer_id").agg(*_totals(by_category, "merchant_category"), F.count_if(seen).alias("categories_30"))
+
+
+# --- the same measures carried from day to day ---------------------------------------------------
+
+
+def _account_rolling() -> Rolling:
+    amount, size, kind = F.col("txn_amount"), F.abs("txn_amount"), F.col("debit_credit")
+    is_c, is_d = kind == "C", kind == "D"
+    return Rolling(
+        ("customer_id", "channel"),
+        "txn_date",
+        (
+            Measure("cnt", F.lit(1), WINDOWS, mark=True),
+            Measure("amt", size, WINDOWS),
+            Measure("credit_cnt", F.when(is_c, 1), (30,), mark=True),
+            Measure("debit_cnt", F.when(is_d, 1), (30,), mark=True),
+            Measure("credit_amt", F.when(is_c, amount), (30,)),
+            Measure("debit_amt", F.when(is_d, size), (30,)),
+        ),
+    )
+
+
+def _card_rolling() -> Rolling:
+    measures = (Measure("cnt", F.lit(1), WINDOWS, mark=True), Measure("amt", F.col("txn_amount"), WINDOWS))
+    return Rolling(("customer_id", "merchant_category"), "txn_date", measures)
+
+
+@dataclass(frozen=True)
+class Source:
+    """A fact whose activity is kept as partials and states: which of its rows count, how, and the measures of a customer."""
+
+    fact: str
+    keys: str
+    spec: Callable[[], Rolling]
+    rows: Callable[[DataFrame], DataFrame]
+    totals: Callable[[DataFrame], DataFrame]
+
+    def partials(self, fact: DataFrame) -> DataFrame:
+        return rolling.partials(self.rows(fact), self.spec())
+
+    def activity(self, state: DataFrame) -> DataFrame:
+        """What account_activity or card_activity gives for the state's day, from the state alone."""
+        spec, out = self.spec(), []
+        for m in spec.measures:
+            for w in m.windows:
+                name = f"{m.name}_{w}" if len(m.windows) > 1 else m.name
+                number = F.col(f"n_{m.name}_{w}")
+                out.append((number if m.mark else F.when(number > 0, F.col(f"s_{m.name}_{w}"))).alias(name))
+        last = [F.when(F.col(f"n_cnt_{w}") > 0, F.col(rolling.LATEST)).alias(f"last_{w}") for w in WINDOWS]
+        return self.totals(state.select(*spec.keys, *out, *last))
+
+
+SOURCES = {
+    "account": Source("txn_account", "customer_id BIGINT, channel STRING", _account_rolling, lambda fact: fact, _account_totals),
+    "card": Source("card_txn", "customer_id BIGINT, merchant_category STRING", _card_rolling, spend_rows, _card_totals),
+}
 
 
 def crm_activity(fact: DataFrame, day: dt.date) -> DataFrame:

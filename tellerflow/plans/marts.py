@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,7 @@ class Silver:
     fact_txn_account: DataFrame
     fact_card_txn: DataFrame
     fact_crm_interaction: DataFrame
+    states: Callable[[str, dt.date], DataFrame | None] | None = field(default=None, repr=False, compare=False)
     _shared: dict = field(default_factory=dict, repr=False, compare=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
     _locks: dict = field(default_factory=dict, repr=False, compare=False)
@@ -45,12 +47,15 @@ class Silver:
     def activity(self, source: str, day: dt.date) -> DataFrame:
         """Per-customer activity up to a day, aggregated once and written out for every mart of that day.
 
-        A fact is a year of events and the result one row per customer, so the marts share this scan.
+        It comes from the rolling state of the day where ``states`` has one; otherwise from a scan of a year of events.
         """
-        build = {
-            "account": lambda: A.account_activity(self.fact_txn_account, day),
-            "card": lambda: A.card_activity(self.fact_card_txn, day),
-        }[source]
+
+        def build() -> DataFrame:
+            state = self.states(source, day) if self.states else None
+            if state is not None:
+                return A.SOURCES[source].activity(state)
+            return A.account_activity(self.fact_txn_account, day) if source == "account" else A.card_activity(self.fact_card_txn, day)
+
         with self._lock:
             own = self._locks.setdefault((source, day), threading.Lock())
         with own:  # other aggregates are built meanwhile

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -12,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerflow import schemas as S
-from tellerflow.functions.columns import OPEN_END
-from tellerflow.operators import asof, history, sinks
+from tellerflow.functions.columns import OPEN_END, in_window
+from tellerflow.operators import activity, asof, history, rolling, sinks
 from tellerflow.plans import marts, quality, serving
 from tellerflow.sources.files import full_snapshot, incremental_day, initial_history
 
@@ -44,6 +45,18 @@ class Gold:
 GOLD = tuple(Gold(n) for n in (*SUMMARIES, "customer_360", "branch_monthly_summary", *SEGMENTS))
 
 
+@functools.cache
+def activity_tables(source: str) -> tuple[S.Table, S.Table]:
+    """The partials of each day, and the state of each processing date."""
+    src = activity.SOURCES[source]
+    spec = src.spec()
+    keys = (*spec.keys, "cob_dt")
+    return (
+        S.Table(f"activity_{source}_daily", spec.partial_ddl(src.keys, "TIMESTAMP_NTZ"), keys, "cob_dt"),
+        S.Table(f"activity_{source}", spec.state_ddl(src.keys, "TIMESTAMP_NTZ"), keys, "cob_dt"),
+    )
+
+
 @dataclass(frozen=True)
 class Job:
     name: str
@@ -115,10 +128,11 @@ class Pipeline:
             with self._lock:
                 self._silver.clear()
 
-    def store(self, layer: str, table: str, rows: DataFrame, write: Callable[[DataFrame, str], object]) -> None:
+    def store(self, layer: str, table: str | S.Table, rows: DataFrame, write: Callable[[DataFrame, str], object]) -> None:
         """Write rows that have the table's declared columns and types."""
-        checked = S.assert_schema(rows, S.TABLES[table])
-        self.save(layer, table, lambda path: write(checked, path))
+        name, declared = (table, S.TABLES[table]) if isinstance(table, str) else (table.name, table)
+        checked = S.assert_schema(rows, declared)
+        self.save(layer, name, lambda path: write(checked, path))
 
     # run log
 
@@ -220,9 +234,56 @@ class Pipeline:
         else:
             self.store("silver", spec.name, rows, lambda checked, path: sinks.overwrite_day(checked, path, day))
 
+    def roll(self, source: str, day: dt.date, initial: bool) -> None:
+        """The day's partials, and the state moved on from the day before; the first load adds up whole windows."""
+        src, (daily, state) = activity.SOURCES[source], activity_tables(source)
+        spec, fact = src.spec(), self.read("silver", asof.FACTS[src.fact].name)
+        if initial:
+            rows = sinks.durable(src.partials(fact.where(in_window(F.col("cob_dt"), day, spec.longest))), daily.name)
+            self.store("silver", daily, rows, lambda checked, path: sinks.load_partitions(sinks.by_day(checked, spec.keys[0]), path))
+        else:
+            rows = src.partials(fact.where(F.col("cob_dt") == F.lit(day)))
+            self.store("silver", daily, rows, lambda checked, path: sinks.overwrite_day(checked, path, day))
+        parts, before = self.read("silver", daily.name), None
+        if sinks.exists(self.spark, self.path("silver", state.name)):
+            known = self.read("silver", state.name)
+            before = known.where(F.col("cob_dt") < F.lit(day)).agg(F.max("cob_dt")).first()[0]
+        if before:
+            after = rolling.advance(known.where(F.col("cob_dt") == F.lit(before)), parts, spec, before, day)
+        else:
+            after = rolling.state_of(parts, spec, day)
+        self.store("silver", state, after, lambda checked, path: sinks.overwrite_day(checked, path, day))
+
+    def correct(self, feed: str, days: list[dt.date], day: dt.date) -> None:
+        """Load past days of an event feed again, and put right the activity as of ``day`` without adding up its windows."""
+        with sinks.scratch(self.spark, "correction"):
+            for late in days:
+                self.ingest(feed, late, False)
+                self.fact(feed, late, False)
+            for source, src in activity.SOURCES.items():
+                if src.fact != feed:
+                    continue
+                daily, state = activity_tables(source)
+                spec, late = src.spec(), F.col("cob_dt").isin(days)
+                old = sinks.durable(self.read("silver", daily.name).where(late), daily.name)
+                new = sinks.durable(src.partials(self.read("silver", asof.FACTS[feed].name).where(late)), daily.name)
+                for d in days:
+                    self.store("silver", daily, new, lambda checked, path, d=d: sinks.overwrite_day(checked, path, d))
+                known = self.read("silver", state.name).where(F.col("cob_dt") == F.lit(day))
+                after = sinks.durable(rolling.correct(known, old, new, self.read("silver", daily.name), spec, days, day), state.name)
+                self.store("silver", state, after, lambda checked, path: sinks.overwrite_day(checked, path, day))
+
+    def activity_state(self, source: str, day: dt.date) -> DataFrame | None:
+        """The stored state of a day, or None where the day has none."""
+        table = activity_tables(source)[1].name
+        if not sinks.exists(self.spark, self.path("silver", table)):
+            return None
+        rows = self.read("silver", table).where(F.col("cob_dt") == F.lit(day))
+        return None if rows.isEmpty() else rows
+
     def silver(self) -> marts.Silver:
         dims = [self.read("silver", f"dim_{d}") for d in ("customer", "account", "branch", "deposit", "loan", "card")]
-        return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()])
+        return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()], states=self.activity_state)
 
     def silver_of(self, run_id: str) -> marts.Silver:
         """One set of frames per run, so that its marts share the activity aggregates."""
@@ -279,6 +340,7 @@ class Pipeline:
             [Job(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
             + [Job(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
             [Job(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
+            [Job(f"activity_{a}", "silver", lambda a=a: self.roll(a, day, initial)) for a in activity.SOURCES],
             [Job(g.name, "gold", lambda g=g: self.mart(g, day, self.silver_of(run_id))) for g in self.gold],
             [Job("mart_customer_360", "gold", lambda: self.publish_current(day)), Job("campaign_target", "gold", lambda: self.campaign(day))],
             [Job("masking", "sandbox", lambda: self.mask(day))],
