@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tellerflow.functions.columns import in_window
 from tellerflow.operators import activity, asof, history, rolling, sinks
-from tellerflow.plans import marts, serving
+from tellerflow.plans import branch_months, marts, serving
 from tellerflow.session import shared_dir
 from tellerflow.sources import bank
 from tellerflow.sources.files import full_snapshot, incremental_day, initial_history
@@ -127,13 +127,23 @@ class Lake:
             return self.stored(f"activity_{source}_day", lambda: rolling.advance(before, parts, spec, self.base, day))
         return None
 
+    def branch_months(self, day: dt.date) -> DataFrame | None:
+        """Month rows of the second day: its month's state grows by the day's events, other months keep the first day's."""
+        if day != self.day:
+            return None
+        fact, accounts = self.fact("txn_account"), self.dim("account")
+        known = self.stored("branch_months_base", lambda: branch_months.state_of(branch_months.attributed(fact.where(F.col("cob_dt") <= F.lit(self.base)), accounts)))
+        own = (F.col("txn_year") == day.year) & (F.col("txn_month") == day.month)
+        grown = branch_months.merge(known.where(own), branch_months.state_of(branch_months.attributed(fact, accounts, day=day)))
+        return branch_months.month_rows(known.where(~own).unionByName(grown))
+
     def silver(self) -> marts.Silver:
         """One set of frames, so that all marts of a day share the activity aggregates."""
         if self._silver is None:
             self._silver = marts.Silver(
                 self.dim("customer"), self.dim("account"), self.dim("branch"), self.dim_current("deposit"),
                 self.dim_current("loan"), self.dim_current("card"), self.fact("txn_account"), self.fact("card_txn"),
-                self.fact("crm_interaction"), states=self.activity_state,
+                self.fact("crm_interaction"), states=self.activity_state, months=self.branch_months,
             )
         return self._silver
 

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tellerflow import schemas as S
 from tellerflow.functions import columns as C
 from tellerflow.operators import activity as A
-from tellerflow.operators.asof import from_the_beginning
 from tellerflow.operators.ranking import ntile_cuts, tile_of
 from tellerflow.operators.sinks import durable
+from tellerflow.plans import branch_months as B
 from tellerflow.sources.files import asof_dimension
 
 KEY = "customer_id"
@@ -40,6 +40,7 @@ class Silver:
     fact_card_txn: DataFrame
     fact_crm_interaction: DataFrame
     states: Callable[[str, dt.date], DataFrame | None] | None = field(default=None, repr=False, compare=False)
+    months: Callable[[dt.date], DataFrame | None] | None = field(default=None, repr=False, compare=False)
     _shared: dict = field(default_factory=dict, repr=False, compare=False)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
     _locks: dict = field(default_factory=dict, repr=False, compare=False)
@@ -406,40 +407,12 @@ def campaign_target(
 def branch_monthly_summary(s: Silver, day: dt.date, bootstrap: bool = False) -> DataFrame:
     """Branch x year x month activity, branch taken from the account version valid on the event date.
 
-    One scan: rows are first grouped by (branch, month, customer, channel); two
-    grouping sets over that give channel totals and distinct customers, and the
-    last step folds both into one row per branch and month.
+    The months come from the stored state where there is one for the day; otherwise from all events up to the day.
     """
-    versions = from_the_beginning(s.dim_account, "account_id") if bootstrap else s.dim_account
-    side = versions.select(F.col("account_id").alias("_key"), "branch_code", "effective_from", "effective_to")
-    event_day = F.col("txn_date").cast("date")
-    joined = s.fact_txn_account.where(F.col("cob_dt") <= F.lit(day)).join(  # a rebuilt day does not see later events
-        side, (F.col("account_id") == F.col("_key")) & event_day.between(F.col("effective_from"), F.col("effective_to"))
-    )
-    amount, size, kind = F.col("txn_amount"), F.abs("txn_amount"), F.col("debit_credit")
-    month = ["branch_code", "txn_year", "txn_month"]
-    fine = (
-        joined.select("branch_code", F.year(event_day).alias("txn_year"), F.month(event_day).alias("txn_month"),
-                      KEY, "channel", "txn_amount", "debit_credit")
-        .groupBy(*month, KEY, "channel")
-        .agg(
-            F.count("*").alias("n"),
-            F.sum(size).alias("amount"),
-            F.sum(F.when(kind == "C", amount)).alias("credit"),
-            F.sum(F.when(kind == "D", amount)).alias("debit"),
-        )
-    )
-    sums = ["n", "amount", "credit", "debit"]
-    by_channel, by_customer = [*month, "channel"], [*month, KEY]
-    folded = fine.groupingSets([by_channel, by_customer], *month, "channel", KEY).agg(
-        F.grouping(KEY).alias("is_channel"), *[F.sum(c).alias(c) for c in sums]
-    )
-    channel = F.col("is_channel") == 1
-    total = folded.groupBy(*month).agg(
-        F.count_if(~channel & F.col(KEY).isNotNull()).alias("active_customers"),
-        *[F.sum(F.when(channel, F.col(c))).alias(c) for c in sums],
-        F.min_by("channel", F.when(channel, F.struct(-F.col("n"), F.col("channel")))).alias("top_channel"),
-    )
+    total = s.months(day) if s.months and not bootstrap else None
+    if total is None:
+        events = s.fact_txn_account.where(F.col("cob_dt") <= F.lit(day))  # a rebuilt day does not see later events
+        total = B.month_rows(B.state_of(B.attributed(events, s.dim_account, bootstrap)))
     branches = asof_dimension(s.dim_branch, day).select("branch_code", "branch_name", "region", "city")
     return total.join(branches, "branch_code", "left").select(
         "branch_code", "branch_name", "region", "city", "txn_year", "txn_month",

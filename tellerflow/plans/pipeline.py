@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tellerflow import schemas as S
 from tellerflow.functions.columns import OPEN_END, in_window
 from tellerflow.operators import activity, asof, history, rolling, sinks
-from tellerflow.plans import marts, quality, serving
+from tellerflow.plans import branch_months, marts, quality, serving
 from tellerflow.sources.files import full_snapshot, incremental_day, initial_history
 
 ERROR_TEXT = 4000  # longest error text kept in the run log
@@ -254,8 +254,44 @@ class Pipeline:
             after = rolling.state_of(parts, spec, day)
         self.store("silver", state, after, lambda checked, path: sinks.overwrite_day(checked, path, day))
 
+    def grow_months(self, day: dt.date, initial: bool) -> None:
+        """The state of the day's month grows by the day's events; the first load makes the states of all months."""
+        fact, accounts = self.read("silver", "fact_txn_account"), self.read("silver", "dim_account")
+        if initial:
+            state = branch_months.state_of(branch_months.attributed(fact.where(F.col("cob_dt") <= F.lit(day)), accounts))
+        else:
+            state = branch_months.state_of(branch_months.attributed(fact, accounts, day=day))
+            if sinks.exists(self.spark, self.path("silver", branch_months.STATE.name)):
+                own = (F.col("txn_year") == day.year) & (F.col("txn_month") == day.month)
+                known = branch_months.latest(self.read("silver", branch_months.STATE.name).where(own), day - dt.timedelta(days=1))
+                state = branch_months.merge(known, state)
+        self.store_months(sinks.durable(state, branch_months.STATE.name), day)
+
+    def store_months(self, state: DataFrame, day: dt.date) -> None:
+        """Write a day's states and their month rows; months it does not hold keep those of an earlier day."""
+        for table, rows in ((branch_months.STATE, state), (branch_months.ROWS, branch_months.month_rows(state))):
+            self.store("silver", table, rows.withColumn("cob_dt", F.lit(day)), lambda checked, path: sinks.overwrite_day(checked, path, day))
+
+    def rebuild_months(self, days: list[dt.date], day: dt.date) -> None:
+        """States as of ``day`` of the months of ``days``, from those months' events alone; for events that changed or went."""
+        months = sorted({(d.year, d.month) for d in days})
+        own = F.struct("txn_year", "txn_month").isin([F.struct(F.lit(y), F.lit(m)) for y, m in months])
+        span = [F.col("cob_dt").between(F.lit(dt.date(y, m, 1)), F.last_day(F.lit(dt.date(y, m, 1)))) for y, m in months]
+        inside = functools.reduce(lambda a, b: a | b, span) & (F.col("cob_dt") <= F.lit(day))
+        events = branch_months.attributed(self.read("silver", "fact_txn_account").where(inside), self.read("silver", "dim_account"))
+        others = self.read("silver", branch_months.STATE.name).where((F.col("cob_dt") == F.lit(day)) & ~own).drop("cob_dt")
+        state = branch_months.state_of(events).unionByName(branch_months.emptied(self.spark, months)).unionByName(others)
+        self.store_months(sinks.durable(state, branch_months.STATE.name), day)
+
+    def month_rows(self, day: dt.date) -> DataFrame | None:
+        """Each month's stored rows as of a day, or None before the first load."""
+        if not sinks.exists(self.spark, self.path("silver", branch_months.ROWS.name)):
+            return None
+        return branch_months.latest(self.read("silver", branch_months.ROWS.name), day)
+
     def correct(self, feed: str, days: list[dt.date], day: dt.date) -> None:
-        """Load past days of an event feed again, and put right the activity as of ``day`` without adding up its windows."""
+        """Load past days of an event feed again, and put right what is carried from day to day as of ``day``: activity
+        without adding up its windows, branch months from the events of the months touched."""
         with sinks.scratch(self.spark, "correction"):
             for late in days:
                 self.ingest(feed, late, False)
@@ -272,6 +308,8 @@ class Pipeline:
                 known = self.read("silver", state.name).where(F.col("cob_dt") == F.lit(day))
                 after = sinks.durable(rolling.correct(known, old, new, self.read("silver", daily.name), spec, days, day), state.name)
                 self.store("silver", state, after, lambda checked, path: sinks.overwrite_day(checked, path, day))
+            if feed == "txn_account":
+                self.rebuild_months(days, day)
 
     def activity_state(self, source: str, day: dt.date) -> DataFrame | None:
         """The stored state of a day, or None where the day has none."""
@@ -283,7 +321,7 @@ class Pipeline:
 
     def silver(self) -> marts.Silver:
         dims = [self.read("silver", f"dim_{d}") for d in ("customer", "account", "branch", "deposit", "loan", "card")]
-        return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()], states=self.activity_state)
+        return marts.Silver(*dims, *[self.read("silver", f.name) for f in asof.FACTS.values()], states=self.activity_state, months=self.month_rows)
 
     def silver_of(self, run_id: str) -> marts.Silver:
         """One set of frames per run, so that its marts share the activity aggregates."""
@@ -340,7 +378,8 @@ class Pipeline:
             [Job(f"dim_{e}", "silver", lambda e=e: self.versioned(e, day)) for e in history.DIMENSIONS]
             + [Job(f"dim_{e}", "silver", lambda e=e: self.current_state(e, day)) for e in SCD1_KEYS],
             [Job(facts[f].name, "silver", lambda f=f: self.fact(f, day, initial)) for f in facts],
-            [Job(f"activity_{a}", "silver", lambda a=a: self.roll(a, day, initial)) for a in activity.SOURCES],
+            [Job(f"activity_{a}", "silver", lambda a=a: self.roll(a, day, initial)) for a in activity.SOURCES]
+            + [Job("branch_months", "silver", lambda: self.grow_months(day, initial))],
             [Job(g.name, "gold", lambda g=g: self.mart(g, day, self.silver_of(run_id))) for g in self.gold],
             [Job("mart_customer_360", "gold", lambda: self.publish_current(day)), Job("campaign_target", "gold", lambda: self.campaign(day))],
             [Job("masking", "sandbox", lambda: self.mask(day))],

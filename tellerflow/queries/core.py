@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from tellerflow.functions import columns as C
 from tellerflow.lake import Lake
 from tellerflow.operators import activity as A
-from tellerflow.operators import asof, ranking
+from tellerflow.operators import asof, distinct, ranking
 from tellerflow.operators.history import DIMENSIONS, classify, ordered_ranges
 from tellerflow.plans import marts
 from tellerflow.queries.oracle import COLUMNS, D, P
@@ -271,10 +271,10 @@ def agg_conditional(lake: Lake) -> DataFrame:
 @query("agg_count_distinct", """
 SELECT channel, count(DISTINCT customer_id) AS customers, count(DISTINCT CASE WHEN status = 'SUCCESS' THEN merchant_category END) AS categories FROM e_card_txn GROUP BY channel""")
 def agg_count_distinct(lake: Lake) -> DataFrame:
-    return lake.feed("card_txn").groupBy("channel").agg(
-        F.countDistinct("customer_id").alias("customers"),
-        F.countDistinct(F.when(col("status") == "SUCCESS", col("merchant_category"))).alias("categories"),
-    )
+    """By bitmaps: customers by their ids, categories by numbers given to them."""
+    rows = lake.feed("card_txn").select("channel", "customer_id", F.when(col("status") == "SUCCESS", col("merchant_category")).alias("merchant_category"))
+    rows = rows.join(distinct.extend(None, rows, "merchant_category"), "merchant_category", "left")
+    return distinct.count_distinct(rows, ["channel"], {"customers": col("customer_id"), "categories": col("number")})
 
 
 @query("agg_having_duplicates", """

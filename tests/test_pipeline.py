@@ -1,5 +1,6 @@
 """Two processing dates, a rerun, and a day that must be stopped."""
 
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tellerflow.lake import SALT, SCD1, Lake
 from tellerflow.operators import activity, asof, rolling, sinks
-from tellerflow.plans import acceptance
+from tellerflow.plans import acceptance, marts
 from tellerflow.plans.pipeline import Pipeline
 from tellerflow.sources import bank
 
@@ -52,6 +53,13 @@ def test_two_days_and_a_rerun(spark, tmp_path):
     want = rolling.state_of(job.read("silver", "activity_account_daily"), src.spec(), lake.day)
     assert sinks.fingerprint(got.select(*sorted(want.columns))).first() == sinks.fingerprint(want.select(*sorted(want.columns))).first()
 
+    silver = job.silver()
+    kept = marts.branch_monthly_summary(silver, lake.day)
+    whole = marts.branch_monthly_summary(dataclasses.replace(silver, months=None), lake.day)
+    assert kept.count() > 0 and sinks.fingerprint(kept).first() == sinks.fingerprint(whole).first()
+    written = job.read("silver", "branch_month_state").where(F.col("cob_dt") == F.lit(lake.day)).where("n > 0").select("txn_year", "txn_month").distinct()
+    assert {tuple(r) for r in written.collect()} <= {(d.year, d.month) for d in (late, lake.day)}
+
     broken = True  # keys with events of the day vanish: their events cannot be resolved and the gate stops the day
     with pytest.raises(RuntimeError, match="fact_surrogate_keys_not_orphan"):
         job.run(lake.day, "day-2-broken")
