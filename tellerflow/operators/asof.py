@@ -6,13 +6,18 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tellerflow.operators.sinks import durable
 from tellerflow.sources.files import asof_dimension
 
 FIRST_DAY = "0001-01-01"  # before any event
+MANY_VERSIONS = 16  # of one key; above it versions and events are sorted together
+HOT_EVENTS = 1_000_000  # of one key; above it the key is cut into days
+MOST_BROADCAST = 10_000  # hot keys; more of them are joined without a hint
+SPREAD = 1_000  # parts of the events that have no key
 
 
 @dataclass(frozen=True)
@@ -54,23 +59,80 @@ def from_the_beginning(versions: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _hot_keys(events: DataFrame, key: str, on: Column) -> DataFrame | None:
+    """(key, first and last day) of keys with more than HOT_EVENTS events, so at most one row for each HOT_EVENTS events."""
+    counts = events.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("n"), F.min(on).alias("_low"), F.max(on).alias("_high"))
+    hot = durable(counts.where(F.col("n") > HOT_EVENTS).drop("n"), "hot-keys")
+    found = hot.limit(MOST_BROADCAST + 1).count()
+    if not found:
+        return None
+    return F.broadcast(hot) if found <= MOST_BROADCAST else hot
+
+
+def carry_forward(events: DataFrame, event: str, lookup: Lookup, how: str = "left") -> DataFrame:
+    """Add the surrogate key of the version valid on the event date by one sort of events and versions together.
+
+    Per key, versions and events are ordered by date, a version before the events
+    of its first day; the last version seen is carried to each event and holds if
+    it has not ended. So a key costs the sum of its versions and events, where a
+    join costs their product. A key with more than HOT_EVENTS events is cut into
+    its days, each with the version valid at its start. Events without a key or
+    date meet no version and are spread over tasks. Of overlapping versions of a key, which the
+    history checks refuse, the last one started counts.
+    """
+    key, on, sk = F.col(lookup.key), F.col(event).cast("date"), lookup.sk
+    versions = lookup.versions.where(key.isNotNull()).select(
+        key, F.col("effective_from").alias("_at"), F.struct(F.col(sk).alias("sk"), F.col("effective_to").alias("to")).alias("_version")
+    )
+    loose = key.isNull() | on.isNull()
+    part = F.when(loose, F.pmod(F.xxhash64(*events.columns), F.lit(SPREAD)).cast("int"))
+    hot = _hot_keys(events, lookup.key, on)
+    if hot is None:
+        rows, versions = events.withColumn("_part", F.coalesce(part, F.lit(0))), versions.withColumn("_part", F.lit(0))
+    else:
+        same = key == F.col("_hot")
+        rows = events.join(hot, same, "left").withColumn("_part", F.coalesce(part, F.datediff(on, "_low"), F.lit(0)))
+        first = F.greatest(F.datediff("_at", "_low"), F.lit(0))
+        last = F.datediff(F.least(F.col("_version.to"), F.col("_high")), "_low")
+        days = F.when(F.col("_hot").isNull(), F.array(F.lit(0))).when(first <= last, F.sequence(first, last))
+        versions = versions.join(hot, same, "left").withColumn("_part", F.explode(days))
+        rows, versions = rows.drop("_hot", "_low", "_high"), versions.drop("_hot", "_low", "_high")
+    both = rows.withColumns({"_at": on, "_event": F.lit(1)}).unionByName(versions.withColumn("_event", F.lit(0)), allowMissingColumns=True)
+    sofar = Window.partitionBy(lookup.key, "_part").orderBy("_at", "_event", F.col("_version.to")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carried = both.withColumn("_carried", F.last("_version", ignorenulls=True).over(sofar)).where(F.col("_event") == 1)
+    found = F.when(F.col("_at") <= F.col("_carried.to"), F.col("_carried.sk"))
+    out = carried.select(*events.columns, found.alias(sk))
+    return out.where(F.col(sk).isNotNull()) if how == "inner" else out
+
+
+def _many_versions(lookup: Lookup) -> bool:
+    most = lookup.versions.groupBy(lookup.key).count().agg(F.max("count")).first()[0]
+    return (most or 0) > MANY_VERSIONS
+
+
 def resolve(
-    events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap: bool = False, how: str = "left", day: dt.date | None = None
+    events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap: bool = False, how: str = "left", day: dt.date | None = None,
+    merge: bool | None = None,
 ) -> DataFrame:
     """Add each dimension's surrogate key as of the event date.
 
     When all events fall on one ``day``, only the versions valid then are read:
     at most one per key, and the closed partitions before it are pruned.
 
-    An equi join on the business key with the validity range as residual
-    condition; only three columns of a dimension travel. A hot key splits under
-    AQE because the many-row side is the streamed side of a left join.
+    Otherwise events and versions are sorted together (``carry_forward``) where a
+    key has more than MANY_VERSIONS versions, or as ``merge`` says. With few
+    versions it is an equi join on the business key with the validity range as
+    residual condition; only three columns of a dimension travel. A hot key splits
+    under AQE because the many-row side is the streamed side of a left join.
     """
     out = events
     for lookup in lookups:
         versions = from_the_beginning(lookup.versions, lookup.key) if bootstrap else lookup.versions
         if day:
             versions = asof_dimension(versions, day)
+        elif merge or (merge is None and _many_versions(lookup)):
+            out = carry_forward(out, event, Lookup(versions, lookup.key, lookup.sk), how)
+            continue
         side = versions.select(
             F.col(lookup.key).alias("_key"), lookup.sk, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
         )

@@ -144,7 +144,7 @@ SELECT t.txn_id, t.account_id, a.account_sk FROM e_txn t LEFT JOIN d_account a O
 
 def _events_with_account(lake: Lake, **options: object) -> DataFrame:
     lookup = [asof.Lookup(lake.dim("account"), "account_id", "account_sk")]
-    return asof.resolve(lake.feed("txn_account").select("txn_id", "account_id", "txn_date"), "txn_date", lookup, **options).drop("txn_date")
+    return asof.resolve(lake.feed("txn_account").select("txn_id", "account_id", "txn_date"), "txn_date", lookup, merge=True, **options).drop("txn_date")
 
 
 @query("join_asof_range_left", _ASOF)

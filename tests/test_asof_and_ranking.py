@@ -12,7 +12,9 @@ from tellerflow.operators import asof, ranking
 D0 = dt.date(2024, 1, 1)
 
 
-def test_resolve_against_brute_force(spark):
+@pytest.mark.parametrize("merge, hot", [(False, 0), (True, 1_000_000), (True, 20)])
+def test_resolve_against_brute_force(spark, monkeypatch, merge, hot):
+    monkeypatch.setattr(asof, "HOT_EVENTS", hot)
     rnd = random.Random(7)
     versions = []
     for key in range(6):
@@ -36,8 +38,27 @@ def test_resolve_against_brute_force(spark):
         return None
 
     for bootstrap in (False, True):
-        got = {r.id: r.sk for r in asof.resolve(facts, "at", lookup, bootstrap=bootstrap).collect()}
-        assert got == {i: brute(k, at, bootstrap) for i, k, at in events}
+        want = {i: brute(k, at, bootstrap) for i, k, at in events}
+        for how in ("left", "inner"):
+            out = asof.resolve(facts, "at", lookup, bootstrap=bootstrap, how=how, merge=merge)
+            assert out.columns == ["id", "k", "at", "sk"]
+            got = [(r.id, r.sk) for r in out.collect()]
+            assert sorted(got, key=str) == sorted(((i, sk) for i, sk in want.items() if sk or how == "left"), key=str)
+
+
+def test_a_key_with_many_versions_costs_their_sum(spark, monkeypatch):
+    """One key has 3,000 versions of a day and 60,000 events; events without key or date stay without a version."""
+    monkeypatch.setattr(asof, "HOT_EVENTS", 10_000)
+    start, n = "DATE '2015-01-01'", 3000
+    versions = spark.range(n).selectExpr("1L AS k", f"CAST(date_add({start}, CAST(id AS INT)) AS STRING) AS sk", f"date_add({start}, CAST(id AS INT)) AS effective_from")
+    versions = versions.withColumn("effective_to", F.col("effective_from")).where("day(effective_from) <> 13")  # a gap every month
+    hours = f"CAST({start} AS TIMESTAMP_NTZ) + make_interval(0, 0, 0, 0, CAST(id * 1.2 AS INT), 0, 0)"
+    facts = spark.range(60_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 1000 = 1 THEN 2 ELSE 1 END AS k", f"CASE WHEN id % 50 = 7 THEN NULL ELSE {hours} END AS at")
+    out = asof.resolve(facts, "at", [asof.Lookup(versions, "k", "sk")])  # many versions: chosen by itself
+    assert "Window" in out._jdf.queryExecution().executedPlan().toString()
+    expected = F.when((F.col("k") == 1) & (F.dayofmonth("at") != 13), F.col("at").cast("date").cast("string"))
+    assert out.where(~F.col("sk").eqNullSafe(expected)).count() == 0
+    assert out.count() == 60_000
 
 
 def test_fact_contract(spark):
