@@ -26,7 +26,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     fs, jpath = _fs(spark, path)
     fs.delete(jpath, True)
 
@@ -49,7 +49,7 @@ def scratch(spark: SparkSession, label: str) -> Iterator[str]:
         yield folder
     finally:
         _SCRATCH.remove(folder)
-        _remove(spark, folder)
+        remove(spark, folder)
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -74,9 +74,10 @@ def partitions_for(df: DataFrame, target_bytes: int = 128 << 20) -> int:
     return max(least, -(-read // target_bytes))
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str = "cob_dt") -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition: str | list[str] = "cob_dt") -> None:
     """Replace only the partitions present in the output."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    columns = [partition] if isinstance(partition, str) else partition
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
 
 
 def load_partitions(df: DataFrame, path: str, partition: str = "cob_dt") -> None:
@@ -104,7 +105,7 @@ def overwrite_day(df: DataFrame, path: str, day: dt.date, partition: str = "cob_
     overwrite_partitions(rows, path, partition)
     count = written.get["n"]
     if not count:  # a dynamic overwrite leaves a partition alone when nothing is written to it
-        _remove(df.sparkSession, f"{path}/{partition}={day.isoformat()}")
+        remove(df.sparkSession, f"{path}/{partition}={day.isoformat()}")
     return count
 
 
@@ -114,7 +115,7 @@ def restore(spark: SparkSession, path: str) -> None:
     for status in fs.globStatus(pattern) or []:
         old = status.getPath().toString()
         if exists(spark, path):
-            _remove(spark, old)
+            remove(spark, old)
         else:
             _rename(spark, old, path)
 
@@ -134,7 +135,7 @@ def overwrite_all(df: DataFrame, path: str, partition: str | None = None) -> Non
     if exists(spark, path):
         _rename(spark, path, old)
     _rename(spark, stage, path)
-    _remove(spark, old)
+    remove(spark, old)
 
 
 def append(df: DataFrame, path: str, partition: str | None = None) -> None:
@@ -165,24 +166,6 @@ def union_evolved(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.unionByName(old, allowMissingColumns=True)
 
 
-# --- versioned dimensions: two partitions per run ------------------------------------------------
-
-
-def save_history(history: DataFrame, path: str) -> None:
-    """First write of a dimension, partitioned by effective_to: open versions are one partition, and each
-    closing day is another, so a daily run rewrites two partitions and never the older past."""
-    overwrite_partitions(history, path, "effective_to")
-
-
-def save_history_day(history: DataFrame, path: str, day: dt.date, open_end: dt.date) -> None:
-    """Write the two partitions a day can change. The closed one goes first: if the run stops in between, the
-    old versions exist twice (open and closed) and recovery keeps the open copy; nothing is lost."""
-    closed_on = day - dt.timedelta(days=1)
-    touched = durable(history.where(F.col("effective_to").isin(closed_on, open_end)), "history-stage")
-    for part in (closed_on, open_end):
-        overwrite_day(touched, path, part, "effective_to")
-
-
 # --- compaction ----------------------------------------------------------------------------------
 
 

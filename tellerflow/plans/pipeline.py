@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tellerflow import schemas as S
-from tellerflow.functions.columns import OPEN_END, in_window
-from tellerflow.operators import activity, asof, history, rolling, sinks
+from tellerflow.functions.columns import in_window
+from tellerflow.operators import activity, asof, buckets, history, rolling, sinks
 from tellerflow.plans import branch_months, marts, quality, serving
 from tellerflow.sources.files import full_snapshot, incremental_day, initial_history
 
@@ -116,7 +116,7 @@ class Pipeline:
         """A stored table; its files are listed once per write, not once per job that reads it."""
         path = self.path(layer, table)
         if path not in self._open:
-            self._open[path] = self.spark.read.parquet(path)
+            self._open[path] = buckets.read(self.spark, path)
         return self._open[path]
 
     def save(self, layer: str, table: str, write: Callable[[str], object]) -> None:
@@ -193,18 +193,17 @@ class Pipeline:
         return self.read("bronze", entity).where(F.col("cob_dt") == F.lit(day)).drop("cob_dt")
 
     def versioned(self, entity: str, day: dt.date) -> None:
-        """Guards, history of the day, two partitions read and written, history and source compared afterwards."""
+        """Guards, the changed buckets of the history written again, history and source compared afterwards."""
         spec, table = history.DIMENSIONS[entity].validate(), f"dim_{entity}"
-        snapshot = self.bronze(entity, day)
+        snapshot, path = self.bronze(entity, day), self.path("silver", table)
+        checked = lambda rows: S.assert_schema(rows, S.TABLES[table])
         history.guard_source(snapshot, spec)
-        if not sinks.exists(self.spark, self.path("silver", table)):
-            first = history.open_versions(snapshot, spec, day)
-            self.store("silver", table, first, sinks.save_history)
+        if not sinks.exists(self.spark, path):
+            first = checked(history.open_versions(snapshot, spec, day))
+            self.save("silver", table, lambda to: buckets.save_history(first, to, spec.keys))
         else:
-            stored = self.read("silver", table)
-            history.guard_backdated(stored, spec, day)
-            after = history.apply_snapshot(history.day_slice(stored, day), snapshot, spec, day)
-            self.store("silver", table, after, lambda rows, path: sinks.save_history_day(rows, path, day, OPEN_END))
+            history.guard_backdated(self.read("silver", table), spec, day)
+            self.save("silver", table, lambda to: buckets.save_history_day(to, snapshot, spec, day, checked))
         history.guard_history(history.day_slice(self.read("silver", table), day), spec, snapshot)
 
     def verify_dimensions(self) -> None:
@@ -214,11 +213,8 @@ class Pipeline:
 
     def current_state(self, entity: str, day: dt.date) -> None:
         table, snapshot = f"dim_{entity}", self.bronze(entity, day)
-        history.guard_keys(snapshot, [SCD1_KEYS[entity]], table)
-        sinks.restore(self.spark, self.path("silver", table))
-        if sinks.exists(self.spark, self.path("silver", table)):
-            snapshot = history.scd1_upsert(self.read("silver", table), snapshot, [SCD1_KEYS[entity]])
-        self.store("silver", table, snapshot, sinks.overwrite_all)
+        checked = lambda rows: S.assert_schema(rows, S.TABLES[table])
+        self.save("silver", table, lambda path: buckets.save_current(path, snapshot, [SCD1_KEYS[entity]], checked))
 
     def fact(self, feed: str, day: dt.date, initial: bool) -> None:
         spec = asof.FACTS[feed].validate()
@@ -365,12 +361,13 @@ class Pipeline:
         self.save("ops", "dq_result", lambda path: sinks.append(stored, path))
         quality.gate(results)
 
-    def run(self, day: dt.date, run_id: str, initial: bool = False, scheduler_run: str | None = None) -> None:
+    def run(self, day: dt.date, run_id: str, initial: bool = False, scheduler_run: str | None = None, verify: bool = False) -> None:
         """All layers of one processing date, in dependency order; stops after the first stage with a failure.
 
         Jobs of one stage do not depend on each other and are submitted side by
         side. A run id may be used again to repeat a run: its log entries then
-        carry the next try number. Intermediate tables go when the run ends.
+        carry the next try number. ``verify`` checks whole histories as well, not
+        only what the day can change. Intermediate tables go when the run ends.
         """
         facts = asof.FACTS
         stages = [
@@ -383,7 +380,7 @@ class Pipeline:
             [Job(g.name, "gold", lambda g=g: self.mart(g, day, self.silver_of(run_id))) for g in self.gold],
             [Job("mart_customer_360", "gold", lambda: self.publish_current(day)), Job("campaign_target", "gold", lambda: self.campaign(day))],
             [Job("masking", "sandbox", lambda: self.mask(day))],
-            [Job("data_quality", "ops", lambda: self.check(day, run_id))],
+            [Job("data_quality", "ops", lambda: self.check(day, run_id))] + [Job("verify_dimensions", "ops", self.verify_dimensions)] * verify,
         ]
         run = Run(run_id, scheduler_run or run_id, self.tries(day, run_id) + 1)
         try:

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tellerflow.lake import SALT, SCD1, Lake
-from tellerflow.operators import asof, history, ranking, sinks
+from tellerflow.operators import asof, buckets, history, ranking, sinks
 from tellerflow.plans import quality
 from tellerflow.plans.pipeline import Pipeline
 from tellerflow.session import shared_dir
@@ -55,8 +55,8 @@ def test_a_replace_stopped_between_renames_loses_nothing(spark, snapshot, tmp_pa
 
 def test_daily_slice_prunes_old_partitions(spark, snapshot, tmp_path):
     path = str(tmp_path / "dim")
-    sinks.save_history(history.open_versions(snapshot, SPEC, DAY - dt.timedelta(days=9)), path)
-    stored = spark.read.parquet(path)
+    buckets.save_history(history.open_versions(snapshot, SPEC, DAY - dt.timedelta(days=9)), path, SPEC.keys)
+    stored = buckets.read(spark, path)
     after = history.apply_snapshot(history.day_slice(stored, DAY), snapshot.limit(1), SPEC, DAY)
     scans = [line for line in after._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in line]
     assert scans and all("effective_to" in line.split("PartitionFilters:")[1].split("]")[0] for line in scans)
@@ -86,6 +86,30 @@ def test_compaction_keeps_to_its_target_and_to_names(spark, tmp_path):
     assert sinks.fingerprint(sinks._as_named(spark, path, "p").select("v", "p")).first() == before
 
 
+def test_verify_finds_an_overlap_among_closed_versions(spark, tmp_path, monkeypatch):
+    from tellerflow.plans import pipeline
+
+    spec = history.DIMENSIONS["product"]
+    monkeypatch.setattr(history, "DIMENSIONS", {"product": spec})
+    job = Pipeline(spark, str(tmp_path), None, SALT)
+    start = DAY - dt.timedelta(days=400)
+    row = tuple(None for _ in spec.tracked)
+    columns = ", ".join(["product_code STRING", *(f"{c} STRING" for c in spec.tracked), "effective_from DATE, effective_to DATE, is_current INT, product_sk STRING"])
+
+    def version(first, last, sk):
+        return ("p1", *row, start + dt.timedelta(first), last if isinstance(last, dt.date) else start + dt.timedelta(last), int(isinstance(last, dt.date)), sk)
+
+    sound = [version(0, 9, "a"), version(10, 19, "b"), version(20, dt.date(9999, 12, 31), "c")]
+    buckets.save_history(spark.createDataFrame(sound, columns), job.path("silver", "dim_product"), spec.keys)
+    job.verify_dimensions()
+    torn = [sound[0], version(5, 19, "b"), sound[2]]  # among versions closed more than a year ago
+    broken = pipeline.Pipeline(spark, str(tmp_path / "torn"), None, SALT)
+    buckets.save_history(spark.createDataFrame(torn, columns), broken.path("silver", "dim_product"), spec.keys)
+    history.guard_history(history.day_slice(broken.read("silver", "dim_product"), DAY), spec)  # the day's own check does not see it
+    with pytest.raises(RuntimeError, match="overlapping_ranges"):
+        broken.verify_dimensions()
+
+
 def test_scratch_folders_go_also_after_a_failure(spark, snapshot):
     for fail in (False, True):
         try:

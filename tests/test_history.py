@@ -7,8 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tellerflow.operators import buckets, sinks
 from tellerflow.operators import history as H
-from tellerflow.operators import sinks
 from tellerflow.operators.history import Dimension
 
 SPEC = Dimension("dim_entity", ("entity_id",), ("entity_name",), "entity_sk")
@@ -112,27 +112,64 @@ def test_key_deleted_by_an_earlier_attempt_is_not_reopened(spark):
     assert [(r[2], r[3]) for r in rerun if r[0] == 2] == [(day(0), day(0)), (day(1), OPEN)]
 
 
+def files(path) -> dict:
+    return {p.relative_to(path).parts[:-1]: p.name for p in path.rglob("*.parquet")}
+
+
 def test_stored_history_survives_a_stop_between_its_two_writes(spark, tmp_path):
     path = str(tmp_path / "dim")
     first, second = snap(spark, (1, "a"), (2, "b"), (3, "c")), snap(spark, (1, "A"), (2, "b"), (4, "d"))
-    sinks.save_history(H.open_versions(first, SPEC, day(0)), path)
-    stored = spark.read.parquet(path)
-    after = H.apply_snapshot(stored, second, SPEC, day(1))
+    buckets.save_history(H.open_versions(first, SPEC, day(0)), path, SPEC.keys)
+    after = H.apply_snapshot(buckets.read(spark, path), second, SPEC, day(1))
     want = rows(after)
     # only the closed partition was written
-    closed = sinks.durable(after.where(F.col("effective_to") == F.lit(day(0))), "t")
-    sinks.overwrite_day(closed, path, day(0), "effective_to")
-    half = spark.read.parquet(path)
-    assert half.count() == 5
-    sinks.save_history_day(H.apply_snapshot(half, second, SPEC, day(1)), path, day(1), OPEN)
-    assert rows(spark.read.parquet(path)) == want
+    closed = sinks.durable(buckets._placed(after.where(F.col("effective_to") == F.lit(day(0))), SPEC.keys), "t")
+    sinks.overwrite_partitions(closed, path, ["effective_to", "key_bucket"])
+    assert buckets.read(spark, path).count() == 5
+    buckets.save_history_day(path, second, SPEC, day(1))
+    assert rows(buckets.read(spark, path)) == want
     # and a rerun that takes the change back empties the closed partition again
-    back = H.apply_snapshot(spark.read.parquet(path), snap(spark, (1, "a"), (2, "b"), (4, "d")), SPEC, day(1))
-    sinks.save_history_day(back, path, day(1), OPEN)
-    got = [(r[0], r[1], r[4]) for r in rows(spark.read.parquet(path))]
+    buckets.save_history_day(path, snap(spark, (1, "a"), (2, "b"), (4, "d")), SPEC, day(1))
+    got = [(r[0], r[1], r[4]) for r in rows(buckets.read(spark, path))]
     assert got == [(1, "a", 1), (2, "b", 1), (3, "c", 0), (4, "d", 1)]
 
 
+def test_a_change_of_one_key_rewrites_one_bucket(spark, tmp_path):
+    path = tmp_path / "dim"
+    base = {n: "a" for n in range(300)}
+    shot = lambda **changes: snap(spark, *{**base, **{int(k[1:]): v for k, v in changes.items()}}.items())
+    buckets.save_history(H.open_versions(shot(), SPEC, day(0)), str(path), SPEC.keys)
+    old = files(path)
+    assert len(old) == buckets.BUCKETS
+    written = buckets.save_history_day(str(path), shot(k7="b"), SPEC, day(1))
+    new = files(path)
+    opened = ("effective_to=9999-12-31", f"key_bucket={written[0]}")
+    assert len(written) == 1 and {k for k in new if new[k] != old.get(k)} == {opened, (f"effective_to={day(0)}", "key_bucket=0")}
+    assert rows(buckets.read(spark, str(path))) == rows(H.apply_snapshot(H.open_versions(shot(), SPEC, day(0)), shot(k7="b"), SPEC, day(1)))
+    # the same day again changes nothing; taking it back restores the bucket and empties the closed partition
+    assert buckets.save_history_day(str(path), shot(k7="b"), SPEC, day(1)) == [] and files(path) == new
+    # the day again with another key: the first key's closing goes, or stays, with its own bucket
+    both = buckets.save_history_day(str(path), shot(k7="b", k8="c"), SPEC, day(1))
+    assert len(both) == 1 and buckets.read(spark, str(path)).where("is_current = 0").count() == 2
+    # a bucket that loses its only keys goes
+    lone = min(n for n in base if n != 7)
+    buckets.save_history_day(str(path), snap(spark, (lone, "a")), SPEC, day(2))
+    left = {k[1] for k in files(path) if k[0] == "effective_to=9999-12-31"}
+    assert len(left) == 1 and buckets.read(spark, str(path)).where("is_current = 1").count() == 1
+
+
+def test_current_state_rewrites_changed_buckets(spark, tmp_path):
+    path = tmp_path / "cards"
+    rows_ = lambda **c: spark.createDataFrame([(n, c.get(f"k{n}", "x")) for n in range(200)], "k BIGINT, v STRING")
+    buckets.save_current(str(path), rows_(), ["k"])
+    old = files(path)
+    assert len(buckets.save_current(str(path), rows_(k5="y").where("k < 100"), ["k"])) == 1
+    new = files(path)
+    assert sum(new[k] != old[k] for k in new) == 1 and len(new) == len(old)
+    assert {tuple(r) for r in buckets.read(spark, str(path)).collect()} == {(n, "y" if n == 5 else "x") for n in range(200)}
+    assert buckets.save_current(str(path), rows_(k5="y"), ["k"]) == []
+
+
 def test_violations_are_counted(spark):
     h = spark.createDataFrame(
         [
