@@ -36,7 +36,7 @@ from tellerflow.llm.registry import documents, query
 from tellerflow.llm.text import slices
 from tellerflow.llm.workers import map_arrow
 
-COUNTED, REMEMBERED = 400_000, 200_000  # pieces whose count or encoding a task remembers; forgotten ones are merged again
+COUNTED, REMEMBERED = 200_000, 200_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
 
 
 def _char_class(wanted: str, last: int) -> str:
@@ -262,7 +262,7 @@ _LOADED: dict[str, Vocabulary] = {}
 
 
 def load(source: str, digest: str) -> Vocabulary:
-    """A task parses a vocabulary once and remembers pieces until it ends."""
+    """A worker parses a vocabulary once and keeps its remembered pieces, a bounded number, from task to task."""
     if digest not in _LOADED:
         _LOADED.clear()
         _LOADED[digest] = Vocabulary(source)
@@ -284,13 +284,10 @@ def _mapped(docs: DataFrame, text: str, keep: list[str], fields: list[StructFiel
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("_text"))
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        try:
-            for batch in (s for b in batches for s in slices(b, "_text")):
-                columns = rows([t or "" for t in batch.column("_text").to_pylist()])
-                arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(c, t) for c, t in columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
-        finally:
-            _LOADED.clear()  # a worker outlives its task and serves other stages
+        for batch in (s for b in batches for s in slices(b, "_text")):
+            columns = rows([t or "" for t in batch.column("_text").to_pylist()])
+            arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(c, t) for c, t in columns]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return map_arrow(picked, work, schema)
 
