@@ -7,13 +7,13 @@ what remains is the line's template. A template with at least ``constant`` fixed
 tokens per hundred is recurring if ``least`` contexts show it, and recurring
 templates are dropped, but for their first line.
 
-A context is the pair of neighbouring lines. Counting contexts and not rows
-means that exact copies of a document count once: they are the concern of
-near-duplicate removal, and their own lines are not boilerplate. But inside a
-block of several lines the neighbours are the block itself, so a footer in any
-number of documents shows one context. With ``documents`` a leaf, token or
-template also counts as shown if ``least`` distinct texts have it, whatever
-stands beside it. The query keeps to contexts alone, as its SQL does.
+A context is the pair of neighbouring lines. Inside a block of several lines the
+neighbours are the block itself, so a footer in any number of documents shows one
+context; therefore a leaf, token or template also counts as shown if ``least``
+distinct texts have it, whatever stands beside it. Neither counts rows: exact copies
+of a document count once, as they are the concern of near-duplicate removal, and
+their own lines are not boilerplate. Near copies count as different texts.
+``documents=False`` keeps to contexts alone.
 
 A line's fate depends on its text's content alone: equal texts are treated
 alike, whatever their ids. The first line kept of a template is the one with the
@@ -21,9 +21,8 @@ smallest doc_id (NULL last), then text hash, then position; texts equal to that
 text keep it too.
 
 Defined cases: NULL text stays NULL with 0 lines; an empty text is one empty
-line; lines without a token or with fewer than ``tokens`` are never dropped (1 lets
-short lines recur, which ``constant`` demands to be fixed in full up to three
-tokens; the query's SQL has 4); a text whose lines are all dropped becomes empty. Every row gives one row, and extra columns
+line; lines without a token or with fewer than ``tokens`` are never dropped (up to
+three tokens, ``constant`` demands that all are fixed); a text whose lines are all dropped becomes empty. Every row gives one row, and extra columns
 stay as they are, but for ones named n_lines or n_dropped, which the result's
 replace.
 """
@@ -36,7 +35,7 @@ from pyspark.sql import functions as F
 from tellerflow.llm.registry import documents, query
 from tellerflow.operators.sinks import durable
 
-LEAST, DEPTH, TOKENS, CONSTANT = 10, 3, 4, 70
+LEAST, DEPTH, TOKENS, CONSTANT = 10, 3, 1, 70
 
 # The white space that separates tokens.
 WHITE, BLANKS = "[\\x09-\\x0D\\x20]+", "\t\n\x0b\x0c\r "
@@ -71,7 +70,7 @@ def _lines(docs: DataFrame, text: str, doc_id: str, depth: int) -> DataFrame:
 
 
 def recurring(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", least: int = LEAST, depth: int = DEPTH,
-              tokens: int = TOKENS, constant: int = CONSTANT, documents: bool = False) -> DataFrame:
+              tokens: int = TOKENS, constant: int = CONSTANT, documents: bool = True) -> DataFrame:
     """The lines to drop: (text_hash, pos, template), one row per distinct text and line."""
     lines = _lines(docs, text, doc_id, depth).where((F.size("tokens") >= tokens) & (F.element_at("tokens", 1) != ""))
     leaves = _shown(lines, ["leaf"], least, documents)
@@ -116,6 +115,8 @@ def drop_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **op
     )
 
 
+_OFTEN = f"(count(distinct context) >= {LEAST} or count(distinct text) >= {LEAST})"
+
 # The same definition over strings in place of hashes.
 SQL = f"""
 with texts as (select text, min(coalesce(doc_id, 9223372036854775807)) as doc_id from {{docs}} where text is not null group by text),
@@ -123,16 +124,16 @@ split as (select text, doc_id, string_split(text, chr(10)) as raw, string_split(
 line as (select text, doc_id, pos, lines[pos] as line, [lines[pos - 1], lines[pos + 1], (pos = 1)::varchar] as context
          from split, unnest(range(1, len(lines) + 1)) as u(pos)),
 cut as (select * , string_split_regex(regexp_replace(regexp_replace(line, '^{WHITE}', ''), '{WHITE}$', ''), '{WHITE}') as tokens from line),
-leafed as (select *, [len(tokens)::varchar, tokens[1], tokens[2], tokens[3]] as leaf from cut where len(tokens) >= {TOKENS}),
-busy as (select * from leafed where leaf in (select leaf from leafed group by leaf having count(distinct context) >= {LEAST})),
+leafed as (select *, [len(tokens)::varchar, tokens[1], tokens[2], tokens[3]] as leaf from cut where len(tokens) >= {TOKENS} and tokens[1] <> ''),
+busy as (select * from leafed where leaf in (select leaf from leafed group by leaf having {_OFTEN})),
 field as (select text, pos, leaf, context, place, tokens[place] as token from busy, unnest(range(1, len(tokens) + 1)) as u(place)),
-fixed as (select leaf, place, token from field group by all having count(distinct context) >= {LEAST}),
+fixed as (select leaf, place, token from field group by all having {_OFTEN}),
 whole as (select f.text, f.pos, string_agg(case when x.token is null then '<*>' else f.token end, ' ' order by f.place) as template,
                  count(x.token) as fixed, count(*) as n
           from field f left join fixed x on f.leaf = x.leaf and f.place = x.place and f.token = x.token group by f.text, f.pos),
 found as (select w.text, w.pos, w.template, b.context, b.doc_id from whole w join busy b on w.text = b.text and w.pos = b.pos
           where w.fixed * 100 >= w.n * {CONSTANT}),
-often as (select template, min([doc_id, pos]) as first from found group by template having count(distinct context) >= {LEAST}),
+often as (select template, min([doc_id, pos]) as first from found group by template having {_OFTEN}),
 gone as (select f.text, list(f.pos) as gone from found f join often o on f.template = o.template
          where [f.doc_id, f.pos] <> o.first group by f.text)
 """
