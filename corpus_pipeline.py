@@ -6,7 +6,7 @@ Stages keep the columns of ``documents``; the last adds the encoding:
    its score is below ``LEAST_SCORE``.
 2. lines: lines that recur in distinct texts or contexts leave the texts, and n_chars follows; a document of
    which nothing but white space is left, though there was more, goes.
-3. near duplicates, at a similarity of 0.85: one document of each group stays, the one with the smallest
+3. near duplicates, at a similarity of 0.8: one document of each group stays, the one with the smallest
    doc_id. Of repeated rows under that id all stay, as they are one document.
 4. decontamination: documents that hold a benchmark item go.
 5. encoding: n_tokens, and the SHA-256 of the ids and of the text decoded from them.
@@ -29,7 +29,7 @@ from tellerflow.llm.neardup import near_duplicates
 from tellerflow.session import shared_dir
 
 LEAST_SCORE = 0.2
-NEAR_PERCENT = 85  # of five-word shingles, as the stage's test has it
+NEAR_PERCENT = 80  # of five-word shingles
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = drop_lines(docs, tokens=1, documents=True).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
+    left = drop_lines(docs).where((F.col("n_dropped") == 0) | F.col("text").rlike("[^\\x09-\\x0D\\x20]"))
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", n_chars).select(*docs.columns)
 
