@@ -6,9 +6,11 @@ piece:
 
 * ``token_counts`` keeps the piece's symbols in a linked list and its adjacent
   pairs in a heap, and repeatedly pops the lowest rank. It only counts merges.
-* ``encode`` streams the piece through a transducer that emits a token once no
-  later byte can change it (see ``Transducer``), and ``decode`` runs a
-  byte-to-text state machine over the tokens' bytes.
+* ``encode`` reads a text window by window. A piece's tokens leave once no later
+  character can change the cut (``Vocabulary.stream``) and, inside a long piece,
+  once no later byte can change the token (``Transducer``); with digests nothing
+  but the unfinished end is held. ``decode`` runs a byte-to-text state machine
+  over the tokens' bytes.
 
 NULL text counts as empty: no tokens. Every row gives one row, whatever its
 doc_id (NULL and repeated ones too); extra columns are passed through by
@@ -37,6 +39,8 @@ from tellerflow.llm.text import slices
 from tellerflow.llm.workers import map_arrow
 
 COUNTED, REMEMBERED = 200_000, 200_000  # pieces whose count or encoding a worker remembers; forgotten ones are merged again
+WINDOW = 1 << 16  # characters of a text that are cut into pieces at once
+LONG = 1 << 12  # characters from which a piece is encoded part by part
 
 
 def _char_class(wanted: str, last: int) -> str:
@@ -112,8 +116,9 @@ class Vocabulary:
         self.short, self.wide = piece_pattern(0xFFFF), piece_pattern(sys.maxunicode)
         self.lengths: dict[str, int] = {}
         self.encoded: dict[str, str] = {}  # ids of pieces that decode to themselves
+        self.widest = max(map(len, self.special), default=1)
         self.lookahead = self._lookahead()
-        self.machine, self.reader = Transducer(self), TextReader()
+        self.reader = TextReader()
 
     def pieces(self, text: str) -> Iterator[tuple[int | None, list[str]]]:
         """The text in order: pieces, each run followed by the id of the special token that ends it, or None at the end."""
@@ -123,6 +128,34 @@ class Vocabulary:
             at = found.end()
         yield None, piece.findall(text[at:] if at else text)
 
+    def stream(self, chunks: Iterable[str]) -> Iterator[tuple[int | None, list[str]]]:
+        """As ``pieces``, for a text that comes in chunks: what is yielded holds for every continuation.
+
+        A special token is sure once the longest one would fit behind its start.
+        Before it, the splitter looks at most at the end of what it was given:
+        that can change a contraction's two pieces or the last run, so the last
+        three pieces wait. A piece beyond all windows is cut anew only when what
+        is held has doubled.
+        """
+        held, due = "", 1
+        for chunk in chunks:
+            if len(held) >= due:
+                at, sure = 0, len(held) - self.widest + 1
+                piece = self.short if len(held.encode("utf-16-le")) == 2 * len(held) else self.wide
+                for found in self.cut.finditer(held) if self.cut else ():
+                    if found.start() >= sure:
+                        break
+                    yield self.special[found[0]], piece.findall(held, at, found.start()) if found.start() > at else []
+                    at = found.end()
+                if at < sure:
+                    ready = piece.findall(held, at, sure)[:-3]
+                    yield None, ready
+                    at += sum(map(len, ready))
+                held = held[at:]
+                due = 2 * len(held)
+            held += chunk
+        yield from self.pieces(held)
+
     def merge(self, piece: bytes) -> tuple[list[int], int]:
         """The piece's symbols after all merges, dead ones as -1, and the number of merges.
 
@@ -181,28 +214,40 @@ class Vocabulary:
                 total += n
         return total
 
-    def _lookahead(self) -> int:
-        """Bytes after which no continuation can change a token.
-
-        Run the merge list on a text and on the same text continued. Both agree
-        on all symbols at first. Rule by rule in rank order, the agreed symbols
-        merge alike in both; only the last agreed symbol may merge with what
-        follows in one and not in the other, and then it equals that rule's left
-        part. So a rule takes at most its left part's bytes off the agreed
-        prefix, and the sum over all rules suffices.
+    def _lookahead(self) -> int | None:
+        """Bytes after which no continuation can change a token; None if the merge list gives no such bound.
+
+        Run the merge list rule by rule in rank order on a text and on the same
+        text continued. Both agree on all symbols of the shorter one at first,
+        and agreed symbols merge alike; only the last agreed one may merge with
+        what follows in one run alone, and then equals that rule's left part. So
+        the agreed prefix loses symbols one after the other, by rules of rising
+        rank. What follows the agreed prefix starts, in both runs, with the
+        symbol lost before, which may have grown to the right since. A loss by
+        ``a + b`` therefore comes first of all, or after the loss of a symbol
+        that ``b`` begins with in its derivation. The dearest such chain of
+        losses, in bytes, is the bound.
+
+        The argument needs rules whose parts are made by earlier rules only, as
+        training makes them, so that merging by lowest rank goes in rank order.
         """
-        return sum(self.left_bytes)
+        begins: dict[int, set[int]] = {i: {i} for i in self.first}  # symbol -> those its derivation begins with
+        lost: dict[int, int] = {}  # symbol -> bytes of the dearest chain that ends with its loss
+        for pair, rank in sorted(self.rank.items(), key=lambda rule: rule[1]):
+            left, right, made = pair >> 20, pair & 0xFFFFF, self.merged[rank]
+            if left not in begins or right not in begins or made in begins:
+                return None
+            chain = self.left_bytes[rank] + max(lost.get(symbol, 0) for symbol in begins[right])
+            lost[left] = max(lost.get(left, 0), chain)
+            begins[made] = {made} | begins[left]
+        return max(lost.values(), default=0)
 
     def encode_piece(self, piece: str) -> tuple[str, str]:
-        """(ids joined by commas, text decoded from those ids) of one piece, streamed through the transducer."""
-        machine, reader, raw = self.machine, self.reader, piece.encode()
-        tokens = []
-        for at in range(0, len(raw), machine.step):
-            tokens += machine.feed(raw[at : at + machine.step])
-        tokens += machine.finish()
+        """(ids joined by commas, text decoded from those ids) of one piece."""
+        tokens = [s for s in self.merge(piece.encode())[0] if s >= 0]
         parts = [self.texts[t] for t in tokens]
         if None in parts:  # a token ends within a character
-            parts = [*(reader.feed(self.bytes[t]) for t in tokens), reader.finish()]
+            parts = [*(self.reader.feed(self.bytes[t]) for t in tokens), self.reader.finish()]
         back = "".join(parts)
         ids = ",".join(map(str, tokens))
         if len(piece) <= 64 and back == piece:
@@ -211,24 +256,35 @@ class Vocabulary:
             self.encoded[piece] = ids
         return ids, back
 
+    def encode_long(self, piece: str) -> Iterator[tuple[str, str]]:
+        """``encode_piece`` part by part, streamed through the transducer."""
+        machine, reader = Transducer(self), TextReader()
+        for at in range(0, len(piece), LONG):
+            tokens = machine.feed(piece[at : at + LONG].encode())
+            if tokens:
+                yield ",".join(map(str, tokens)), "".join(reader.feed(self.bytes[t]) for t in tokens)
+        tokens = machine.finish()
+        yield ",".join(map(str, tokens)), "".join(reader.feed(self.bytes[t]) for t in tokens) + reader.finish()
+
 
 class Transducer:
-    """Encodes a stream of bytes of one piece with constant memory: at most ``step`` + lookahead bytes are held.
+    """Encodes a stream of bytes of one piece with constant memory: what is fed, ``step`` and the lookahead are held.
 
     A boundary further than the lookahead from the end of what was read holds
     for every continuation, and what follows it is encoded on its own. So the
-    tokens before the last such boundary are emitted and forgotten.
+    tokens before the last such boundary are emitted and forgotten. Without a
+    lookahead all tokens wait for the end.
     """
 
     def __init__(self, vocabulary: Vocabulary, step: int | None = None, lookahead: int | None = None):
         self.vocabulary = vocabulary
         self.lookahead = vocabulary.lookahead if lookahead is None else lookahead
-        self.step = step or max(self.lookahead, 1)
-        self.held = b""
+        self.step = step or 4 * max(self.lookahead or 0, 1)
+        self.held = bytearray()
 
     def feed(self, more: bytes) -> list[int]:
         self.held += more
-        if len(self.held) < self.step + self.lookahead:
+        if self.lookahead is None or len(self.held) < self.step + self.lookahead:
             return []
         stable, end, out = len(self.held) - self.lookahead, 0, []
         for token in self._merged():
@@ -237,12 +293,12 @@ class Transducer:
                 break
             end += size
             out.append(token)
-        self.held = self.held[end:]
+        del self.held[:end]
         return out
 
     def finish(self) -> list[int]:
         out = self._merged() if self.held else []
-        self.held = b""
+        self.held = bytearray()
         return out
 
     def _merged(self) -> list[int]:
@@ -305,6 +361,38 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, text: str =
     return _mapped(docs, text, list(keep), fields, rows)
 
 
+class _Digests:
+    """Number of tokens, SHA-256 of the ids and of the decoded text, from parts in order that are not kept."""
+
+    def __init__(self):
+        self.n, self.ids, self.back = 0, hashlib.sha256(), hashlib.sha256()
+
+    def add(self, ids: list[str], back: list[str]) -> None:
+        if ids:
+            joined = ",".join(ids)
+            self.ids.update((f",{joined}" if self.n else joined).encode())
+            self.n += joined.count(",") + 1
+            self.back.update("".join(back).encode())
+
+    def result(self) -> tuple[int, str, str]:
+        return self.n, self.ids.hexdigest(), self.back.hexdigest()
+
+
+class _Whole:
+    """Number of tokens, the ids and the decoded text."""
+
+    def __init__(self):
+        self.ids, self.back = [], []
+
+    def add(self, ids: list[str], back: list[str]) -> None:
+        self.ids += ids
+        self.back += back
+
+    def result(self) -> tuple[int, str, str]:
+        joined = ",".join(self.ids)
+        return joined.count(",") + 1 if joined else 0, joined, "".join(self.back)
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), digests: bool = False) -> DataFrame:
     """``keep`` columns with each text's ids and the text decoded from them.
 
@@ -314,21 +402,28 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", keep: tuple[str
     shared, digest = _shared(docs, vocabulary)
 
     def one(known: Vocabulary, content: str) -> tuple[int, str, str]:
-        ids, back = [], []
-        for special, pieces in known.pieces(content):
+        made = _Digests() if digests else _Whole()
+        for special, pieces in known.stream(content[at : at + WINDOW] for at in range(0, len(content), WINDOW)):
+            ids, back = [], []
             for piece in pieces:
                 own = known.encoded.get(piece)
-                own, decoded = (own, piece) if own else known.encode_piece(piece)
-                ids.append(own)
-                back.append(decoded)
+                if own:
+                    ids.append(own)
+                    back.append(piece)
+                elif len(piece) < LONG:
+                    own, decoded = known.encode_piece(piece)
+                    ids.append(own)
+                    back.append(decoded)
+                else:
+                    made.add(ids, back)
+                    for own, decoded in known.encode_long(piece):
+                        made.add([own], [decoded])
+                    ids, back = [], []
             if special is not None:
                 ids.append(str(special))
                 back.append(known.bytes[special].decode())
-        joined, decoded = ",".join(ids), "".join(back)
-        n = joined.count(",") + 1 if joined else 0
-        if digests:
-            joined, decoded = (hashlib.sha256(x.encode()).hexdigest() for x in (joined, decoded))
-        return n, joined, decoded
+            made.add(ids, back)
+        return made.result()
 
     def rows(texts: list[str]):
         known = load(shared.value, digest)

@@ -70,12 +70,48 @@ def test_stream_with_sufficient_lookahead_equals_the_whole():
         assert got + machine.finish() == [s for s in vocabulary.merge(raw)[0] if s >= 0]
 
 
+def test_lookahead_is_that_of_the_merge_list(library):
+    vocabulary = bpe.Vocabulary(open(bpe.byte_vocabulary(), encoding="utf-8").read())
+    assert 0 < vocabulary.lookahead < 1000 < sum(vocabulary.left_bytes)
+    rng, parts = random.Random(6), [v for v in vocabulary.texts.values() if v and v.isascii() and v.isalpha()]
+    hard = [lambda: "".join(rng.choice(parts) for _ in range(400)), lambda: "a" * rng.randint(1000, 3000), lambda: "".join(rng.choice("aeh") * rng.randint(1, 90) for _ in range(60)),
+            lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(3000))]
+    for make in hard * 15:
+        piece = make()
+        machine = bpe.Transducer(vocabulary, step=rng.randint(1, 40))
+        early = [t for i in range(0, len(piece), 37) for t in machine.feed(piece[i : i + 37].encode())]
+        assert len(machine.held) <= machine.step + vocabulary.lookahead + 37 and early
+        assert early + machine.finish() == library.encode(piece, add_special_tokens=False).ids
+    # An odd merge list, in which a symbol is made twice, has no bound: all tokens wait for the end.
+    vocabulary.merged[1] = vocabulary.merged[0]
+    assert vocabulary._lookahead() is None
+
+
 def test_long_piece_streams_in_bounded_memory(library):
     vocabulary = bpe.Vocabulary(open(bpe.byte_vocabulary(), encoding="utf-8").read())
     rng = random.Random(1)
-    piece = "".join(rng.choice("etaoinshrdlu") for _ in range(2 * vocabulary.lookahead + 1000))
-    got = vocabulary.encode_piece(piece)
-    assert got == (",".join(map(str, library.encode(piece, add_special_tokens=False).ids)), piece)
+    piece = "".join(rng.choice("etaoinshrdlué") for _ in range(50_000))
+    parts = list(vocabulary.encode_long(piece))
+    assert len(parts) > 5 and max(len(back) for _, back in parts) < 3 * bpe.LONG
+    assert ",".join(i for i, _ in parts) == ",".join(map(str, library.encode(piece, add_special_tokens=False).ids)) and "".join(b for _, b in parts) == piece
+
+
+def test_chunks_of_a_text_are_cut_like_the_whole(spark):
+    from conftest import DATA
+
+    vocabulary = bpe.Vocabulary(open(bpe.byte_vocabulary(), encoding="utf-8").read())
+    rng, special = random.Random(2), sorted(vocabulary.special)[:1]
+    odd = ["".join(rng.choice([" ", "  ", "\n", "'re", "'ll", "'", "l", "ab", "12", "!?", "é", "😀", "\u2003", *special]) for _ in range(300)) for _ in range(60)]
+    texts = odd + ["", "x", "y" * 5000] + [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").select("text").collect() if r.text]
+    flat = lambda parts: [x for special, pieces in parts for x in [*pieces, *([special] if special is not None else [])]]
+    early = total = 0
+    for text in texts:
+        got = list(vocabulary.stream(text[i : i + 64] for i in range(0, len(text), 64)))
+        whole = flat(vocabulary.pieces(text))
+        assert flat(got) == whole
+        total += len(whole)
+        early += len(flat(got[:-1]))
+    assert early > total / 2  # most pieces leave before the text has ended
 
 
 def test_text_reader_holds_unfinished_characters():
