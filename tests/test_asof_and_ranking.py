@@ -90,6 +90,28 @@ def test_tiles_equal_ntile(spark, n):
     assert key(tiled) == key(want)
 
 
+def test_tiles_of_all_types_sort_only_their_brackets(spark, monkeypatch):
+    """NULLs, NaN, ties of a third of all rows, types with and without quantiles, values beyond a double's digits."""
+    rows = spark.range(20_000).select("id", F.pmod(F.xxhash64("id"), F.lit(1_000_003)).alias("h")).selectExpr(
+        "id", "h", "CAST(IF(id % 3 = 0, 7, h) AS DECIMAL(15, 2)) AS tied", "IF(id % 4 = 0, NULL, h / 7) AS holes", "IF(id % 4 = 0, CAST('NaN' AS DOUBLE), h / 7) AS nan",
+        "CAST(h AS STRING) AS text", "timestamp_micros(h * 1000003) AS at", "CAST(timestamp_micros(h * 1000003) AS TIMESTAMP_NTZ) AS at_ntz", "date_add(DATE '2024-01-01', CAST(h % 900 AS INT)) AS day",
+        "CAST(NULL AS INT) AS none", "CAST(9000000000000000000 + h AS DECIMAL(38, 0)) AS wide", "9000000000000000000 + h AS long", "CAST(h % 5 AS FLOAT) AS few",
+    ).cache()
+    seen = []
+    in_order = ranking.in_order
+    monkeypatch.setattr(ranking, "in_order", lambda frame, keys: seen.append(frame.groupBy("order").count().collect()) or in_order(frame, keys))
+    names = [c for c in rows.columns if c != "id"]
+    tiled = ranking.ntile(rows, "id", {f"t_{c}": F.col(c) for c in names})
+    want = rows.withColumns({f"w_{c}": F.ntile(5).over(Window.orderBy(c, "id")) for c in names}).select("id", *[f"w_{c}" for c in names])
+    wrong = tiled.join(want, "id").agg(*[F.count_if(F.col(f"t_{c}") != F.col(f"w_{c}")).alias(c) for c in names]).first().asDict()
+    assert not any(wrong.values()), wrong
+    (counts,) = seen
+    held = {names[r["order"]]: r["count"] for r in counts}
+    assert all(held[c] < 500 for c in ("h", "at", "at_ntz")), held  # four brackets of a few thousandths
+    assert held["nan"] == held["text"] == held["wide"] == 20_000 and held["tied"] < 8_000
+    rows.unpersist()
+
+
 def test_tile_starts_cover_small_and_uneven_counts():
     for n in range(51):
         starts = [s for s in ranking.tile_starts(n, 5) if s is not None]
