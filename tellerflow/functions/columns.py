@@ -53,10 +53,11 @@ def in_window(date: Column, day: dt.date, days: int) -> Column:
     return date.between(F.lit(day - dt.timedelta(days=days)), F.lit(day))
 
 
-def surrogate_key(keys: Sequence[str], day: dt.date) -> Column:
+def surrogate_key(keys: Sequence[str], day: dt.date | Column) -> Column:
     """Deterministic version key: the same business key and day always give the same value."""
     parts = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_KEY)) for k in keys]
-    return F.sha2(F.concat_ws("|", *parts, F.lit(day.isoformat())), 256)
+    start = day.cast("string") if isinstance(day, Column) else F.lit(day.isoformat())
+    return F.sha2(F.concat_ws("|", *parts, start), 256)
 
 
 # --- ladders -------------------------------------------------------------------------------------

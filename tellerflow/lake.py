@@ -3,6 +3,10 @@
 Silver and gold tables are written once per session to the shared folder and
 read back, as a daily pipeline does; queries further up read them as stored
 tables. The first build of each table is a normal Spark job.
+
+Surrogate keys are 64 digits that no codec packs well, but a version's business
+key and start give them again. Stored tables hold the start, and the key is
+computed where a table is read by a plan that uses it.
 """
 
 from __future__ import annotations
@@ -15,8 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tellerflow.functions.columns import in_window
-from tellerflow.operators import activity, asof, history, rolling, sinks
+from tellerflow.functions.columns import in_window, surrogate_key
+from tellerflow.operators import activity, asof, history, rolling
 from tellerflow.plans import branch_months, marts, serving
 from tellerflow.session import shared_dir
 from tellerflow.sources import bank
@@ -67,7 +71,8 @@ class Lake:
         with self._lock:
             if name not in self._stored:
                 rows, path = build(), f"{self.root}/{name}"
-                (rows.write.partitionBy(partition) if partition else rows.write).parquet(path)
+                writer = rows.write.option("compression", "zstd")
+                (writer.partitionBy(partition) if partition else writer).parquet(path)
                 self._stored[name] = self.spark.read.schema(rows.schema).parquet(path)
             return self._stored[name]
 
@@ -80,7 +85,9 @@ class Lake:
         return history.apply_snapshot(self.baseline(entity), self.snapshot(entity, self.day), spec, self.day)
 
     def dim(self, entity: str) -> DataFrame:
-        return self.stored(f"dim_{entity}", lambda: self.versions(entity))
+        spec = history.DIMENSIONS[entity]
+        rows = self.stored(f"dim_{entity}", lambda: self.versions(entity).drop(spec.sk))
+        return rows.withColumn(spec.sk, surrogate_key(spec.keys, F.col(history.FROM)))
 
     def dim_current(self, entity: str) -> DataFrame:
         """deposit, loan and card: current state after both days."""
@@ -91,24 +98,37 @@ class Lake:
         )
 
     def lookups(self, feed: str) -> list[asof.Lookup]:
-        return [asof.Lookup(self.dim(d), f"{d}_id", f"{d}_sk") for d in asof.FACTS[feed].dimensions]
+        """The start of a version stands for its surrogate key, so that shuffles carry a date."""
+        return [asof.Lookup(self.dim(d).withColumn(f"{d}_sk", F.col(history.FROM)), f"{d}_id", f"{d}_sk") for d in asof.FACTS[feed].dimensions]
 
-    def fact_initial(self, feed: str) -> DataFrame:
-        """All days before the last one, early events resolved to the first version."""
+    def keyed(self, feed: str, fact: DataFrame) -> DataFrame:
+        """A fact with surrogate keys for the starts that ``lookups`` gave it."""
+        start = lambda d: F.col(f"{d}_sk")
+        return fact.withColumns({f"{d}_sk": F.when(start(d).isNotNull(), surrogate_key([f"{d}_id"], start(d))) for d in asof.FACTS[feed].dimensions})
+
+    def _initial(self, feed: str) -> DataFrame:
         spec = asof.FACTS[feed]
         events = initial_history(self.feed(feed), spec.event)
         events = events.where(events.cob_dt < self.day)
         return asof.resolve(events, spec.event, self.lookups(feed), bootstrap=True).drop("last_updated")
 
-    def fact_daily(self, feed: str) -> DataFrame:
+    def _daily(self, feed: str) -> DataFrame:
         spec = asof.FACTS[feed]
         events = incremental_day(self.feed(feed), spec.event, self.day)
         return asof.resolve(events, spec.event, self.lookups(feed), day=self.day).drop("last_updated")
 
+    def fact_initial(self, feed: str) -> DataFrame:
+        """All days before the last one, early events resolved to the first version."""
+        return self.keyed(feed, self._initial(feed))
+
+    def fact_daily(self, feed: str) -> DataFrame:
+        return self.keyed(feed, self._daily(feed))
+
     def fact(self, feed: str) -> DataFrame:
-        """Clustered by date, so that a date filter skips row groups; the pipeline partitions the same rows by cob_dt."""
+        """Each task writes its rows by date, so that a date filter skips pages and no shuffle is needed for it; the pipeline partitions the same rows by cob_dt."""
         spec = asof.FACTS[feed]
-        return self.stored(spec.name, lambda: sinks.by_day(self.fact_initial(feed).unionByName(self.fact_daily(feed)), spec.key))
+        rows = self.stored(spec.name, lambda: self._initial(feed).unionByName(self._daily(feed)).sortWithinPartitions("cob_dt"))
+        return self.keyed(feed, rows)
 
     def activity_partials(self, source: str) -> DataFrame:
         """Per day and key, the days that any window of the two processing dates holds."""
