@@ -80,9 +80,11 @@ class Lake:
         return history.open_versions(self.snapshot(entity, self.base), history.DIMENSIONS[entity], self.base)
 
     def versions(self, entity: str) -> DataFrame:
-        """The history after both days, as a plan."""
+        """The history after both days, as a plan; keys are computed after its join, so that their digits are not shuffled."""
         spec = history.DIMENSIONS[entity]
-        return history.apply_snapshot(self.baseline(entity), self.snapshot(entity, self.day), spec, self.day)
+        before = self.baseline(entity).withColumn(spec.sk, F.lit(None).cast("string"))
+        rows = history.apply_snapshot(before, self.snapshot(entity, self.day), spec, self.day)
+        return rows.withColumn(spec.sk, surrogate_key(spec.keys, F.col(history.FROM)))
 
     def dim(self, entity: str) -> DataFrame:
         spec = history.DIMENSIONS[entity]
@@ -98,13 +100,20 @@ class Lake:
         )
 
     def lookups(self, feed: str) -> list[asof.Lookup]:
-        """The start of a version stands for its surrogate key, so that shuffles carry a date."""
-        return [asof.Lookup(self.dim(d).withColumn(f"{d}_sk", F.col(history.FROM)), f"{d}_id", f"{d}_sk") for d in asof.FACTS[feed].dimensions]
+        """The start of a version stands for its surrogate key, so that shuffles carry a date.
+
+        Account events meet their order before, and the order names the customer: versions of customers come by the account.
+        """
+        starts = lambda d: self.dim(d).withColumn(f"{d}_sk", F.col(history.FROM))
+        via = {}
+        if feed == "txn_account":
+            owners = self.raw("orders").select(F.col("o_orderkey").alias("account_id"), F.col("o_custkey").alias("customer_id"))
+            via = {"customer": ("account_id", owners)}
+        return [asof.Lookup(starts(d), f"{d}_id", f"{d}_sk", *via.get(d, ())) for d in asof.FACTS[feed].dimensions]
 
     def keyed(self, feed: str, fact: DataFrame) -> DataFrame:
         """A fact with surrogate keys for the starts that ``lookups`` gave it."""
-        start = lambda d: F.col(f"{d}_sk")
-        return fact.withColumns({f"{d}_sk": F.when(start(d).isNotNull(), surrogate_key([f"{d}_id"], start(d))) for d in asof.FACTS[feed].dimensions})
+        return asof.keyed(fact, asof.FACTS[feed])
 
     def _initial(self, feed: str) -> DataFrame:
         spec = asof.FACTS[feed]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tellerflow.functions.columns import surrogate_key
 from tellerflow.operators.sinks import durable
 from tellerflow.sources.files import asof_dimension
 
@@ -22,11 +23,17 @@ SPREAD = 1_000  # parts of the events that have no key
 
 @dataclass(frozen=True)
 class Lookup:
-    """A dimension to resolve: business key in the events, surrogate key to fetch."""
+    """A dimension to resolve: business key in the events, surrogate key to fetch.
+
+    ``pairs`` holds every (``through``, key) of the events, where ``through`` is a column by which they are already
+    partitioned, such as the key of the dimension before.
+    """
 
     versions: DataFrame
     key: str
     sk: str
+    through: str | None = None
+    pairs: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -110,6 +117,27 @@ def _many_versions(lookup: Lookup) -> bool:
     return (most or 0) > MANY_VERSIONS
 
 
+def _ranges(lookup: Lookup, versions: DataFrame) -> DataFrame:
+    return versions.select(F.col(lookup.key).alias("_key"), lookup.sk, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to"))
+
+
+def _valid(event: str) -> Column:
+    return F.col(event).cast("date").between(F.col("_from"), F.col("_to"))
+
+
+def _in_range(events: DataFrame, event: str, lookup: Lookup, versions: DataFrame, how: str) -> DataFrame:
+    """Versions by their business key."""
+    return events.join(_ranges(lookup, versions), (F.col(lookup.key) == F.col("_key")) & _valid(event), how).drop("_key", "_from", "_to")
+
+
+def _through(events: DataFrame, event: str, lookup: Lookup, versions: DataFrame, how: str) -> DataFrame:
+    """Versions by the column that the events are partitioned by; the business key is compared as a range, so that it is no join key."""
+    pairs = lookup.pairs.select(F.col(lookup.through).alias("_by"), F.col(lookup.key).alias("_pair")).distinct()
+    side = pairs.join(_ranges(lookup, versions), F.col("_pair") == F.col("_key")).drop("_pair")
+    same = (F.col(lookup.through) == F.col("_by")) & F.col(lookup.key).between(F.col("_key"), F.col("_key"))
+    return events.join(side, same & _valid(event), how).drop("_by", "_key", "_from", "_to")
+
+
 def resolve(
     events: DataFrame, event: str, lookups: Sequence[Lookup], bootstrap: bool = False, how: str = "left", day: dt.date | None = None,
     merge: bool | None = None,
@@ -133,14 +161,21 @@ def resolve(
         elif merge or (merge is None and _many_versions(lookup)):
             out = carry_forward(out, event, Lookup(versions, lookup.key, lookup.sk), how)
             continue
-        side = versions.select(
-            F.col(lookup.key).alias("_key"), lookup.sk, F.col("effective_from").alias("_from"), F.col("effective_to").alias("_to")
-        )
-        valid = (F.col(lookup.key) == F.col("_key")) & F.col(event).cast("date").between(F.col("_from"), F.col("_to"))
-        out = out.join(side, valid, how).drop("_key", "_from", "_to")
+        elif lookup.pairs is not None:
+            by = F.col(lookup.through)
+            loose = _in_range(out.where(by.isNull()), event, lookup, versions, how)
+            out = _through(out.where(by.isNotNull()), event, lookup, versions, how).unionByName(loose)
+            continue
+        out = _in_range(out, event, lookup, versions, how)
     return out
 
 
+def keyed(fact: DataFrame, spec: Fact) -> DataFrame:
+    """A fact with surrogate keys for the starts of versions that stand in their place."""
+    start = lambda d: F.col(f"{d}_sk")
+    return fact.withColumns({f"{d}_sk": F.when(start(d).isNotNull(), surrogate_key([f"{d}_id"], start(d))) for d in spec.dimensions})
+
+
 def contract_counts(fact: DataFrame, spec: Fact, day: dt.date | None = None) -> DataFrame:
     """One row: rows, NULL partitions, rows outside the day, misdated rows, keys with surplus rows. One pass.
 

@@ -61,6 +61,22 @@ def test_a_key_with_many_versions_costs_their_sum(spark, monkeypatch):
     assert out.count() == 60_000
 
 
+def test_versions_come_through_the_column_events_are_partitioned_by(spark):
+    """Repeated rows, keys and columns that are NULL, several owners of one account: the same rows as by the business key."""
+    rnd = random.Random(3)
+    versions = [(k, f"{k}.{n}", D0 + dt.timedelta(days=9 * n), D0 + dt.timedelta(days=9 * n + rnd.randint(3, 8))) for k in range(9) for n in range(rnd.randint(1, 3))]
+    dims = spark.createDataFrame([*versions, versions[0]], "k BIGINT, sk STRING, effective_from DATE, effective_to DATE")
+    owners = [(a, rnd.choice([None, *range(11)])) for a in [*range(40), *range(10)]]
+    at = lambda: rnd.choice([None, *[dt.datetime(2024, 1, 1) + dt.timedelta(hours=rnd.randint(0, 24 * 30)) for _ in range(9)]])
+    events = [(i, *rnd.choice(owners), at()) for i in range(400)] + [(900 + i, None, i % 10, at()) for i in range(20)]
+    facts = spark.createDataFrame(events, "id BIGINT, a BIGINT, k BIGINT, at TIMESTAMP_NTZ")
+    pairs = spark.createDataFrame(owners, "a BIGINT, k BIGINT")
+    found = lambda lookup, **options: sorted((str(r) for r in asof.resolve(facts, "at", [lookup], merge=False, **options).collect()))
+    for options in ({}, {"bootstrap": True}, {"how": "inner"}, {"day": D0 + dt.timedelta(days=4)}):
+        plain = found(asof.Lookup(dims, "k", "sk"), **options)
+        assert plain and found(asof.Lookup(dims, "k", "sk", "a", pairs), **options) == plain
+
+
 def test_fact_contract(spark):
     spec = asof.Fact("f", "id", "at", ("customer",))
     at = dt.datetime(2024, 1, 1, 5)

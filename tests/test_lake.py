@@ -55,3 +55,20 @@ def test_a_stored_fact_gives_its_keys_again(odd):
     assert rows(stored) == sorted(map(str, found)) == rows(odd.fact_initial("txn_account").unionByName(odd.fact_daily("txn_account")))
     files = odd.spark.read.parquet(f"{odd.root}/{spec.name}")
     assert [files.schema[f"{d}_sk"].dataType.simpleString() for d in spec.dimensions] == ["date", "date"]
+
+
+def test_digits_and_events_are_not_shuffled_for_keys(odd):
+    """The history join carries no surrogate key, and account events are not shuffled once more for their customers."""
+    spark = odd.spark
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with large tables
+    try:
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        joined = plan(odd.versions("account").drop("account_sk"))
+        assert "SortMergeJoin" in joined and "sha2" not in joined[joined.index("SortMergeJoin"):]
+        lines = plan(odd._initial("txn_account")).split("\n")
+        at = next(i for i, line in enumerate(lines) if "SortMergeJoin [account_id" in line and "[_by#" in line)
+        below = next(i for i in range(at + 1, len(lines)) if "Join" in lines[i])  # the accounts' join, on the events' side
+        assert "[account_id" in lines[below] and not any("Exchange" in line or "Sort " in line for line in lines[at + 1 : below])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
