@@ -218,7 +218,9 @@ class Pipeline:
 
     def fact(self, feed: str, day: dt.date, initial: bool) -> None:
         spec = asof.FACTS[feed].validate()
-        lookups = [asof.Lookup(self.read("silver", f"dim_{d}"), f"{d}_id", f"{d}_sk") for d in spec.dimensions]
+        # The start of a version stands for its surrogate key until the rows are in place, so that shuffles carry a date.
+        starts = lambda d: self.read("silver", f"dim_{d}").withColumn(f"{d}_sk", F.col(history.FROM))
+        lookups = [asof.Lookup(starts(d), f"{d}_id", f"{d}_sk") for d in spec.dimensions]
         events = self.read("bronze", feed)
         if not initial:
             events = events.where(F.col("cob_dt") == F.lit(day))
@@ -226,9 +228,9 @@ class Pipeline:
         rows = sinks.durable(resolved.drop("last_updated"), spec.name)
         asof.guard_fact(rows, spec, None if initial else day)
         if initial:
-            self.store("silver", spec.name, rows, lambda checked, path: sinks.load_partitions(sinks.by_day(checked, spec.key), path))
+            self.store("silver", spec.name, asof.keyed(sinks.by_day(rows, spec.key), spec), sinks.load_partitions)
         else:
-            self.store("silver", spec.name, rows, lambda checked, path: sinks.overwrite_day(checked, path, day))
+            self.store("silver", spec.name, asof.keyed(rows, spec), lambda checked, path: sinks.overwrite_day(checked, path, day))
 
     def roll(self, source: str, day: dt.date, initial: bool) -> None:
         """The day's partials, and the state moved on from the day before; the first load adds up whole windows."""

@@ -66,3 +66,26 @@ def test_two_days_and_a_rerun(spark, tmp_path):
     last = acceptance.latest_status(job.read("ops", "run_log")).where("pipeline_run_id = 'day-2-broken' AND job_name = 'data_quality'").first()
     assert last.status == "F"
     assert job.read("ops", "dq_result").where("pipeline_run_id = 'day-2-broken'").count() == 19  # stored before the gate raised
+
+
+def test_a_loaded_fact_is_shuffled_without_digits(spark, tmp_path, monkeypatch):
+    """Rows are put in place with the start of the version; the stored keys are those of the stored dimension."""
+    noon = dt.datetime(2024, 1, 5, 12)
+    people = bank.customer(spark.createDataFrame([(k, f"Customer#{k}", k % 3, 10.0 * k, "AUTOMOBILE") for k in range(20)],
+                                                 "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"))
+    given = [(i, noon + dt.timedelta(days=i % 9), [None, 5, 900][i % 3] if i % 7 == 0 else i % 20, "view", float(i)) for i in range(90)]
+    events = bank.card_txn(spark.createDataFrame(given, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"))
+    job = Pipeline(spark, str(tmp_path / "p"), lambda entity, day: {"customer": people, "card_txn": events}[entity], SALT)
+    kinds, usual = [], sinks.by_day
+    monkeypatch.setattr(sinks, "by_day", lambda rows, key: kinds.append(dict(rows.dtypes).get("customer_sk")) or usual(rows, key))
+    with sinks.scratch(spark, "t"):
+        job.ingest("customer", bank.BASE_DAY, True)
+        job.versioned("customer", bank.BASE_DAY)
+        job.ingest("card_txn", bank.BASE_DAY, True)
+        job.fact("card_txn", bank.BASE_DAY, True)
+    assert kinds == [None, "date"]
+    lookup = asof.Lookup(job.read("silver", "dim_customer"), "customer_id", "customer_sk")
+    want = asof.resolve(job.read("bronze", "card_txn"), "txn_date", [lookup], bootstrap=True).drop("last_updated")
+    got = job.read("silver", "fact_card_txn").select(want.columns)
+    assert dict(got.dtypes)["customer_sk"] == "string" and 0 < got.where("customer_sk is null").count() < 90
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
