@@ -6,7 +6,8 @@ tables. The first build of each table is a normal Spark job.
 
 Surrogate keys are 64 digits that no codec packs well, but a version's business
 key and start give them again. Stored tables hold the start, and the key is
-computed where a table is read by a plan that uses it.
+computed where a table is read by a plan that uses it; marts join and hold the
+start in its place, too.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from __future__ import annotations
 import datetime as dt
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,39 @@ SCD1 = {  # feed: (key, status column, status on the second day)
 }
 
 
+class LazySilver(marts.Silver):
+    """Silver frames that are built when a mart first reads them, so that a mart costs only what it reads.
+
+    With ``like`` the activity aggregates are shared with another one.
+    """
+
+    def __init__(self, frames: Mapping[str, Callable[[], DataFrame]], like: marts.Silver | None = None, **states: Callable):
+        shared = {n: getattr(like, n) for n in ("_shared", "_lock", "_locks")} if like else {"_shared": {}, "_lock": threading.Lock(), "_locks": {}}
+        for name, value in (shared | states | {"_frames": dict(frames)}).items():
+            object.__setattr__(self, name, value)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._frames:
+            raise AttributeError(name)
+        return self._frames[name]()
+
+
+class Tables(Mapping):
+    """Tables by name, each built when it is first read."""
+
+    def __init__(self, builds: Mapping[str, Callable[[], DataFrame]]):
+        self._builds = dict(builds)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builds[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builds)
+
+    def __len__(self) -> int:
+        return len(self._builds)
+
+
 class Lake:
     base, day = bank.BASE_DAY, bank.COB_DAY
 
@@ -169,53 +204,71 @@ class Lake:
     def silver(self) -> marts.Silver:
         """One set of frames, so that all marts of a day share the activity aggregates."""
         if self._silver is None:
-            self._silver = marts.Silver(
-                self.dim("customer"), self.dim("account"), self.dim("branch"), self.dim_current("deposit"),
-                self.dim_current("loan"), self.dim_current("card"), self.fact("txn_account"), self.fact("card_txn"),
-                self.fact("crm_interaction"), states=self.activity_state, months=self.branch_months,
-            )
+            frames = {f"dim_{e}": partial(self.dim, e) for e in ("customer", "account", "branch")}
+            frames |= {f"dim_{e}": partial(self.dim_current, e) for e in SCD1}
+            frames |= {spec.name: partial(self.fact, feed) for feed, spec in asof.FACTS.items()}
+            self._silver = LazySilver(frames, states=self.activity_state, months=self.branch_months)
         return self._silver
 
+    def _by_start(self) -> marts.Silver:
+        """The same frames for the marts, where the start of a customer's version stands for its surrogate key."""
+        silver = self.silver()
+        start = lambda: self.dim("customer").withColumn("customer_sk", F.col(history.FROM).cast("string"))
+        return LazySilver(silver._frames | {"dim_customer": start}, silver, states=silver.states, months=silver.months)
+
+    def _with_key(self, rows: DataFrame) -> DataFrame:
+        """Rows of a mart with the surrogate key of their customer for the start that stands for it."""
+        start = F.col("customer_sk") if "customer_sk" in rows.columns else None
+        return rows if start is None else rows.withColumn("customer_sk", F.when(start.isNotNull(), surrogate_key([marts.KEY], start)))
+
+    def _mart_by_start(self, name: str, day: dt.date) -> DataFrame:
+        if name == "campaign_target":
+            parts = [self._gold(n) for n in ("rfm_segment", "churn_prediction", "cross_sell_segment", "customer_360")]
+            return marts.campaign_target(*parts, self.fact("crm_interaction"), day)
+        return getattr(marts, name)(self._by_start(), day)
+
+    def _gold(self, name: str) -> DataFrame:
+        return self.stored(
+            name, lambda: self._mart_by_start(name, self.base).unionByName(self._mart_by_start(name, self.day)), "cob_dt"
+        )
+
+    def _current(self) -> DataFrame:
+        return self.stored("mart_customer_360", lambda: serving.current_mart(self._gold("customer_360"), self.day))
+
     def mart_plan(self, name: str, day: dt.date) -> DataFrame:
         """A gold table of one day, built from the stored silver tables."""
-        if name == "campaign_target":
-            return marts.campaign_target(
-                self.gold("rfm_segment"), self.gold("churn_prediction"), self.gold("cross_sell_segment"),
-                self.gold("customer_360"), self.fact("crm_interaction"), day,
-            )
-        return getattr(marts, name)(self.silver(), day)
+        return self._with_key(self._mart_by_start(name, day))
 
     def gold(self, name: str) -> DataFrame:
         """A gold table with both processing dates as partitions."""
-        return self.stored(
-            name, lambda: self.mart_plan(name, self.base).unionByName(self.mart_plan(name, self.day)), "cob_dt"
-        )
+        return self._with_key(self._gold(name))
 
     def mart(self) -> DataFrame:
-        return self.stored("mart_customer_360", lambda: serving.current_mart(self.gold("customer_360"), self.day))
+        return self._with_key(self._current())
 
     def masked(self) -> DataFrame:
-        return self.stored("mart_customer_360_masked", lambda: serving.mart_masked(self.mart()))
+        return self._with_key(self.stored("mart_customer_360_masked", lambda: serving.mart_masked(self._current())))
 
     def dashboard(self) -> DataFrame:
-        return self.stored(
+        rows = self.stored(
             "mart_customer_360_dashboard",
-            lambda: serving.dashboard_mart(self.gold("customer_360"), self.gold("campaign_target"), self.day),
+            lambda: serving.dashboard_mart(self._gold("customer_360"), self._gold("campaign_target"), self.day),
             "cob_dt",
         )
+        return self._with_key(rows)
 
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self) -> Mapping[str, DataFrame]:
         """The tables the data-quality checks name."""
-        return {
-            **{f"dim_{e}": self.dim(e) for e in history.DIMENSIONS},
-            **{f"dim_{e}": self.dim_current(e) for e in SCD1},
-            **{asof.FACTS[f].name: self.fact(f) for f in asof.FACTS},
-            **{n: self.gold(n) for n in ("rfm_segment", "churn_prediction", "cross_sell_segment", "campaign_target")},
-            "mart_customer_360_history": self.gold("customer_360"),
-            "mart_customer_360": self.mart(),
-            "mart_customer_360_masked": self.masked(),
-            "mart_customer_360_dashboard": self.dashboard(),
-        }
+        return Tables({
+            **{f"dim_{e}": partial(self.dim, e) for e in history.DIMENSIONS},
+            **{f"dim_{e}": partial(self.dim_current, e) for e in SCD1},
+            **{asof.FACTS[f].name: partial(self.fact, f) for f in asof.FACTS},
+            **{n: partial(self.gold, n) for n in ("rfm_segment", "churn_prediction", "cross_sell_segment", "campaign_target")},
+            "mart_customer_360_history": partial(self.gold, "customer_360"),
+            "mart_customer_360": self.mart,
+            "mart_customer_360_masked": self.masked,
+            "mart_customer_360_dashboard": self.dashboard,
+        })
 
     def bronze(self, entity: str) -> DataFrame:
         """A feed with its processing date: both snapshots of a master table, or the whole event history."""

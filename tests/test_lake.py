@@ -72,3 +72,25 @@ def test_digits_and_events_are_not_shuffled_for_keys(odd):
         assert "[account_id" in lines[below] and not any("Exchange" in line or "Sort " in line for line in lines[at + 1 : below])
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_check_and_a_mart_build_only_the_tables_they_read(odd):
+    from tellerflow.plans import quality
+
+    lake = Lake(odd.spark, "/root/testdata/sf0.001")
+    check = next(c for c in quality.CHECKS if c.name == "scd2_no_effective_range_overlap")
+    assert check.run(lake.tables(), lake.day).first().failed_count == 0
+    assert set(lake._stored) == {f"dim_{e}" for e in history.DIMENSIONS}
+    lake.mart_plan("product_summary", lake.day).count()
+    assert set(lake._stored) == {*(f"dim_{e}" for e in history.DIMENSIONS), "dim_deposit", "dim_loan", "dim_card"}
+
+
+def test_a_stored_mart_holds_starts_and_gives_its_keys_again(lake):
+    spec = history.DIMENSIONS["customer"]
+    keys = {(r.customer_id, r.customer_sk) for r in lake.versions("customer").select("customer_id", spec.sk).collect()}
+    for name in ("rfm_segment", "campaign_target"):
+        found = lake.gold(name).select("customer_id", "customer_sk").collect()
+        assert found and {(r.customer_id, r.customer_sk) for r in found} <= keys
+        files = lake.spark.read.parquet(f"{lake.root}/{name}").select("customer_sk").distinct().collect()
+        assert {r.customer_sk for r in files} <= {str(lake.base), str(lake.day)}
+    assert lake.mart().columns == lake.mart_plan("customer_360", lake.day).columns
