@@ -134,17 +134,48 @@ def _asked(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int64)), "key": keys, "n": n})
 
 
+class Answers:
+    """Values by key, in a hash of slots that are a third free at least: a lookup costs a step or two, where a search costs one per bit.
+
+    Keys are not negative.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, (len(keys) + len(keys) // 2).bit_length())
+        self.shift, self.last, self.values = np.uint64(64 - bits), (1 << bits) - 1, values
+        self.at, self.keys = np.zeros(1 << bits, np.int32), np.full(1 << bits, -1, np.int64)
+        left = np.arange(len(keys), dtype=np.int32)
+        slot = self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            self.at[slot[free]], self.keys[slot[free]] = left[free], keys[left[free]]
+            lost = self.keys[slot] != keys[left]  # of several for one free slot, the last has it
+            left, slot = left[lost], (slot[lost] + 1) & self.last
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def __call__(self, asked: np.ndarray) -> np.ndarray:
+        slot = self._slot(asked)
+        on = np.flatnonzero(self.keys[slot] != asked)
+        while len(on):
+            here = slot[on]
+            if (self.keys[here] < 0).any():
+                raise KeyError("a key without an answer")
+            slot[on] = (here + 1) & self.last
+            on = on[self.keys[slot[on]] != asked[on]]
+        return self.values[self.at[slot]]
+
+
 def _scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
     """Each text's sums over the answers to its words and grams."""
-    keys = answers.column("key").to_numpy()
-    order = np.argsort(keys)
-    keys, values = keys[order], answers.column("value").to_numpy()[order]
+    answer = Answers(answers.column("key").to_numpy(), answers.column("value").to_numpy())
     out = [_SCORED.empty_table()]
     for batch in _unpacked(docs):
         data, offsets = column_bytes(batch.column("text"))
         sums = []
         for asked, at in (grams(data, offsets), word_keys(data, offsets)):
-            value = values[np.searchsorted(keys, asked)]
+            value = answer(asked)
             sums += [np.add.reduceat(value, at[:-1]), np.add.reduceat((value > 0).astype(np.int64), at[:-1]), np.diff(at)]
         out.append(pa.table({
             "doc_id": batch.column("doc_id"), "held_out": batch.column("held_out"), "n_tokens": pa.array(sums[5]),

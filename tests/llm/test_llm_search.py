@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tellerflow.llm import ann, decontamination, edits, lm
@@ -131,3 +132,18 @@ def test_nearest_neighbours(spark):
     few = ann.nearest(df.where("vec_id < 3 or vec_id = 1000"), F.col("vec_id") % 50 == 0).collect()
     assert [(r.query_id, r["rank"]) for r in few] == [(0, 1), (0, 2)]
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_answers_are_found_where_slots_collide():
+    rng = np.random.default_rng(5)
+    inverse = pow(0x9E3779B97F4A7C15, -1, 2**64)
+    same = np.array([k for k in (i * inverse % 2**64 for i in range(1, 60)) if k < 2**63], np.int64)  # all hash to the first slot
+    last = np.array([k for k in ((2**64 - i) * inverse % 2**64 for i in range(1, 40)) if k < 2**63], np.int64)  # all to the last one
+    for keys in (same, np.concatenate([same, last]), np.unique(rng.integers(0, 2**63 - 1, 5000)), np.array([0, int(lm._END)], np.int64), np.zeros(0, np.int64)):
+        keys = rng.permutation(keys)
+        values = rng.random(len(keys))
+        asked = rng.integers(0, max(len(keys), 1), 3 * len(keys))
+        found = lm.Answers(keys, values)
+        assert found(keys[asked]).tolist() == values[asked].tolist()
+        with pytest.raises(KeyError):
+            found(np.array([12345], np.int64))
