@@ -50,6 +50,7 @@ WORDS, PERCENT = 5, 85
 ROWS, BANDS = 5, 25
 COORDINATES = ROWS * BANDS
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 1_000_000
+SLICE = 256 << 10  # bytes of text at a time; the arrays made of them take some thirty times as much
 _FREE = np.uint64(2**64 - 1)
 
 
@@ -106,7 +107,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     ])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, "text", 4 << 20)):
+        for batch in (s for b in batches for s in slices(b, "text", SLICE)):
             values, at = _shingled(batch)
             keys = band_keys(sketch(values, at)).astype(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(len(at), dtype=np.int32) * BANDS, keys.ravel())
@@ -121,7 +122,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     schema = StructType([StructField("node", BinaryType()), StructField("shingles", ArrayType(LongType()))])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (s for b in batches for s in slices(b, "text", 4 << 20)):
+        for batch in (s for b in batches for s in slices(b, "text", SLICE)):
             values, at = _shingled(batch)
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(at.astype(np.int32), values.view(np.int64))], names=schema.names)
 

@@ -302,3 +302,20 @@ def test_everything_is_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names}
     assert set(TABLES) >= {"documents", "embeddings", "benchmark"} and set(ORACLES) <= set(QUERIES)
+
+
+def test_sketches_hold_a_small_part_of_a_batch(spark):
+    """Work arrays follow the bytes of a slice, not those of a batch, and slices do not change a document's keys."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{(i * 7919 + j) % 5003}" for j in range(400)) for i in range(1500)]  # about 3 MB
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    parts = [neardup.band_keys(neardup.sketch(*neardup._shingled(s))) for s in neardup.slices(batch, "text", neardup.SLICE)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = neardup.band_keys(neardup.sketch(*neardup._shingled(batch)))
+    assert sum(map(len, parts)) == 1500 and [r for p in parts for r in p.tolist()] == whole.tolist()
+    assert peak < 40 << 20
