@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tellerflow.functions.columns import in_window, surrogate_key
 from tellerflow.operators import activity, asof, history, rolling
 from tellerflow.plans import branch_months, marts, serving
-from tellerflow.session import shared_dir
+from tellerflow.session import bound_broadcasts, shared_dir
 from tellerflow.sources import bank
 from tellerflow.sources.files import full_snapshot, incremental_day, initial_history
 
@@ -75,6 +75,7 @@ class Lake:
     def __init__(self, spark: SparkSession, folder: str, deletes: bool = True):
         self.spark, self.folder, self.deletes = spark, folder.rstrip("/"), deletes
         self.root = f"{shared_dir(spark)}/lake-{uuid.uuid4().hex[:12]}"
+        bound_broadcasts(spark)
         self._stored: dict[str, DataFrame] = {}
         self._lock = threading.RLock()  # a build may ask for other tables
         self._silver: marts.Silver | None = None

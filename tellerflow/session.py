@@ -16,6 +16,10 @@ TUNING = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# The most that a size estimated from files may broadcast. Packed files hold many times their size in rows, and the
+# driver holds every broadcast as rows; a measured size needs no such margin.
+ESTIMATED_BROADCAST = 256 << 10
+
 
 def local_session(app: str = "tellerflow", cpus: int | str = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; on a cluster the caller brings its own."""
@@ -34,6 +38,20 @@ def local_session(app: str = "tellerflow", cpus: int | str = "*", partitions: in
     return spark
 
 
+def bound_broadcasts(spark: SparkSession) -> None:
+    """Broadcast by measured size: adaptive execution keeps the session's threshold, estimates get a far smaller one.
+
+    A threshold that the caller has set lower, or has set for adaptive execution, stays.
+    """
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    most = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if most <= ESTIMATED_BROADCAST:
+        return
+    if spark.conf.get(measured, None) is None:
+        spark.conf.set(measured, str(most))
+    spark.conf.set(planned, str(ESTIMATED_BROADCAST))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 

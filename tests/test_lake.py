@@ -94,3 +94,29 @@ def test_a_stored_mart_holds_starts_and_gives_its_keys_again(lake):
         files = lake.spark.read.parquet(f"{lake.root}/{name}").select("customer_sk").distinct().collect()
         assert {r.customer_sk for r in files} <= {str(lake.base), str(lake.day)}
     assert lake.mart().columns == lake.mart_plan("customer_360", lake.day).columns
+
+
+def test_a_packed_table_is_broadcast_by_its_measured_size_only(spark, tmp_path):
+    """400,000 cards are estimated at under 10 MB from their files, and are not held by the driver for that."""
+    planned, measured = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    kept = {name: spark.conf.get(name, None) for name in (planned, measured)}
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.range(400_000).selectExpr("id AS c_custkey", "concat('Customer#', id) AS c_name", "CAST(id % 25 AS INT) AS c_nationkey", "CAST(id % 9000 AS DOUBLE) AS c_acctbal",
+                                    "'AUTOMOBILE' AS c_mktsegment").write.parquet(f"{tmp_path}/customer.parquet")
+    try:
+        spark.conf.set(planned, "10485760b")
+        spark.conf.unset(measured)
+        lake = Lake(spark, str(tmp_path))
+        upsert = lambda new: history.scd1_upsert(lake.snapshot("card", lake.base), new, ["card_id"])
+        assert "Broadcast" not in plan(upsert(lake.snapshot("card", lake.day)))
+        few = upsert(lake.snapshot("card", lake.day).where("card_id < 10"))
+        assert few.count() > 0
+        found = few.select("card_id")
+        found.collect()
+        assert "BroadcastHashJoin" in plan(found)  # as measured
+        spark.conf.set(planned, "100000")
+        Lake(spark, str(tmp_path))
+        assert spark.conf.get(planned) == "100000"  # a caller's lower one stays
+    finally:
+        for name, value in kept.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
