@@ -57,12 +57,25 @@ class Silver:
                 return A.SOURCES[source].activity(state)
             return A.account_activity(self.fact_txn_account, day) if source == "account" else A.card_activity(self.fact_card_txn, day)
 
+        return self._once((source, day), build, f"activity-{source}")
+
+    def holdings(self, source: str, day: dt.date) -> DataFrame:
+        """Per-customer holdings of accounts, deposits, loans or cards as of a day, aggregated once for every mart of that day."""
+        build = {
+            "account": lambda: A.account_holdings(asof_dimension(self.dim_account, day)),
+            "deposit": lambda: A.deposit_holdings(self.dim_deposit),
+            "loan": lambda: A.loan_holdings(self.dim_loan),
+            "card": lambda: A.card_holdings(self.dim_card),
+        }[source]
+        return self._once(("holdings", source, day if source == "account" else None), build, f"holdings-{source}")
+
+    def _once(self, key: tuple, build: Callable[[], DataFrame], label: str) -> DataFrame:
         with self._lock:
-            own = self._locks.setdefault((source, day), threading.Lock())
+            own = self._locks.setdefault(key, threading.Lock())
         with own:  # other aggregates are built meanwhile
-            if (source, day) not in self._shared:
-                self._shared[source, day] = durable(build(), f"activity-{source}")
-            return self._shared[source, day]
+            if key not in self._shared:
+                self._shared[key] = durable(build(), label)
+            return self._shared[key]
 
 
 def star(spine: DataFrame, *inputs: DataFrame) -> DataFrame:
@@ -100,9 +113,9 @@ def _both(measure: str) -> Column:
 def balance_summary(s: Silver, day: dt.date) -> DataFrame:
     rows = star(
         asof_dimension(s.dim_customer, day).select(*ID),
-        A.account_holdings(asof_dimension(s.dim_account, day)),
-        A.deposit_holdings(s.dim_deposit),
-        A.loan_holdings(s.dim_loan),
+        s.holdings("account", day),
+        s.holdings("deposit", day),
+        s.holdings("loan", day),
     ).withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("balance_sum", "principal_sum", "outstanding_sum")})
     aum = F.col("balance_sum") + F.col("principal_sum")
     return rows.select(
@@ -120,10 +133,10 @@ def balance_summary(s: Silver, day: dt.date) -> DataFrame:
 def product_summary(s: Silver, day: dt.date) -> DataFrame:
     rows = star(
         asof_dimension(s.dim_customer, day).select(*ID),
-        A.account_holdings(asof_dimension(s.dim_account, day)),
-        A.deposit_holdings(s.dim_deposit),
-        A.loan_holdings(s.dim_loan),
-        A.card_holdings(s.dim_card),
+        s.holdings("account", day),
+        s.holdings("deposit", day),
+        s.holdings("loan", day),
+        s.holdings("card", day),
     )
     counts = {
         "total_accounts": "accounts", "cnt_casa_active": "casa_active", "cnt_td_active": "td_active",
@@ -143,7 +156,7 @@ def product_summary(s: Silver, day: dt.date) -> DataFrame:
 
 def card_summary(s: Silver, day: dt.date) -> DataFrame:
     rows = star(
-        asof_dimension(s.dim_customer, day).select(*ID), A.card_holdings(s.dim_card), s.activity("card", day)
+        asof_dimension(s.dim_customer, day).select(*ID), s.holdings("card", day), s.activity("card", day)
     )
     return rows.select(
         *ID,
@@ -237,9 +250,9 @@ def churn_prediction(s: Silver, day: dt.date) -> DataFrame:
 def cross_sell_segment(s: Silver, day: dt.date) -> DataFrame:
     rows = star(
         asof_dimension(s.dim_customer, day).select(*ID, "customer_segment"),
-        A.card_holdings(s.dim_card),
-        A.deposit_holdings(s.dim_deposit),
-        A.loan_holdings(s.dim_loan),
+        s.holdings("card", day),
+        s.holdings("deposit", day),
+        s.holdings("loan", day),
     )
     lacks = lambda name: F.coalesce(F.col(name), F.lit(0)) == 0
     return rows.select(
@@ -267,10 +280,10 @@ def customer_360(s: Silver, day: dt.date) -> DataFrame:
     )
     joined = star(
         spine,
-        A.account_holdings(asof_dimension(s.dim_account, day)),
-        A.deposit_holdings(s.dim_deposit),
-        A.loan_holdings(s.dim_loan),
-        A.card_holdings(s.dim_card),
+        s.holdings("account", day),
+        s.holdings("deposit", day),
+        s.holdings("loan", day),
+        s.holdings("card", day),
         *_activity(s, day),
         A.crm_activity(s.fact_crm_interaction, day),
     )

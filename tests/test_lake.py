@@ -120,3 +120,23 @@ def test_a_packed_table_is_broadcast_by_its_measured_size_only(spark, tmp_path):
     finally:
         for name, value in kept.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_marts_add_up_holdings_once(lake, monkeypatch):
+    """Deposits have no history, so one aggregate serves all marts of both days; accounts have one for each day."""
+    from tellerflow.lake import LazySilver
+    from tellerflow.operators import activity
+    from tellerflow.plans import marts
+
+    calls = []
+    for name in ("account_holdings", "deposit_holdings"):
+        usual = getattr(activity, name)
+        monkeypatch.setattr(activity, name, lambda rows, name=name, usual=usual: calls.append(name) or usual(rows))
+    silver = LazySilver(lake.silver()._frames, states=None, months=None)
+    found = {(f.__name__, day): f(silver, day) for f in (marts.balance_summary, marts.product_summary) for day in (lake.base, lake.day)}
+    assert sorted(calls) == ["account_holdings"] * 2 + ["deposit_holdings"]
+    for day in (lake.base, lake.day):
+        accounts = lake.dim("account").where(f"DATE '{day}' BETWEEN effective_from AND effective_to")
+        customers = lake.dim("customer").where(f"DATE '{day}' BETWEEN effective_from AND effective_to").select("customer_id")
+        want = accounts.join(customers, "customer_id").count()
+        assert want > 0 and found["product_summary", day].selectExpr("sum(total_accounts)").first()[0] == want
